@@ -4,17 +4,22 @@
 task, which does not scale for a global aggregate. The exact mode here is a
 distributed selection:
 
-1. one scan: ``count`` and a ``percentile_approx`` sketch bracket around each
-   wanted rank (rank error <= n/accuracy, bounded memory);
-2. one scan: exact ``count_if`` below / inside each bracket, plus an estimate
-   of the distinct values inside; brackets that are still wide are re-sketched
-   on their own rows (each round shrinks them by ~accuracy/4);
-3. one scan: the few rows inside the brackets become a (target, value) ->
-   count histogram; a window per target over that small histogram finds the
-   values at the wanted ranks.
+The columns are stacked into a long (ci, v) stream inside the scan stage, so
+every pass has the same small plan however many columns are asked for.
+
+1. one pass: per column ``count`` and a ``percentile_approx`` sketch bracket
+   around each wanted rank (rank error <= n/accuracy, bounded memory);
+2. one pass: the bracket table (one row per wanted quantile, broadcast) gives
+   exact counts below / inside each bracket and an estimate of the distinct
+   values inside; a bracket that is still wide is re-sketched on its own rows
+   with a fixed grid (each round shrinks it ~1000x);
+3. one pass: the rows inside the brackets become a (target, value) -> count
+   histogram; a window per target over that small histogram finds the values
+   at the wanted ranks.
 
 Only per-target scalars reach the driver. Interpolation is linear between the
-order statistics at floor/ceil of (n-1)q, as in pandas' default.
+order statistics at floor/ceil of (n-1)q (pandas' default), written as
+lo*(1-d) + hi*d.
 """
 
 from __future__ import annotations
@@ -42,136 +47,119 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     cols, probs = list(cols), [float(p) for p in probs]
     if not cols:
         return {}
+    long = _long(df, cols)
     if method == "approx":
-        row = df.agg(*[F.percentile_approx(clean_double(c), probs, accuracy).alias(f"q{i}")
-                       for i, c in enumerate(cols)]).first()
-        return {c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)
-                for i, c in enumerate(cols)}
+        rows = long.groupBy("ci").agg(F.percentile_approx("v", probs, accuracy).alias("q")).collect()
+        out = {c: [None] * len(probs) for c in cols}
+        for r in rows:
+            out[cols[r["ci"]]] = list(r["q"])
+        return out
     if method != "exact":
         raise ValueError("method must be 'exact' or 'approx'")
-    return _exact(df, cols, probs, accuracy, final_max_distinct)
+    return _exact(df.sparkSession, long, cols, probs, accuracy, final_max_distinct)
 
 
-def _exact(df, cols, probs, accuracy, final_max_distinct):
+def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(ci, v) rows for the non-null values of every column (narrow, in-stage)."""
+    arr = F.array(*[F.struct(F.lit(i).alias("ci"), clean_double(c).alias("v"))
+                    for i, c in enumerate(cols)])
+    return df.select(F.inline(arr)).where(F.col("v").isNotNull())
+
+
+_TG_SCHEMA = "t int, ci int, lo double, hi double, r0 long, r1 long"
+GRID = 1000
+
+
+def _exact(spark, long, cols, probs, accuracy, final_max_distinct):
     delta = 2.0 / accuracy
-    br_probs = []
+    br = []
     for q in probs:
-        br_probs += [max(0.0, q - delta), min(1.0, q + delta)]
-    aggs = []
-    for i, c in enumerate(cols):
-        x = clean_double(c)
-        aggs += [F.count(x).alias(f"n{i}"),
-                 F.percentile_approx(x, br_probs, accuracy).alias(f"b{i}")]
-    first = df.agg(*aggs).first()
-
-    # targets: (col index, prob index, k0, k1, frac, lo, hi)
+        br += [max(0.0, q - delta), min(1.0, q + delta)]
+    first = {r["ci"]: r for r in long.groupBy("ci").agg(
+        F.count("v").alias("n"), F.percentile_approx("v", br, accuracy).alias("b")).collect()}
+
     targets = []
-    for i, _ in enumerate(cols):
-        n = first[f"n{i}"]
+    for ci in range(len(cols)):
+        r = first.get(ci)
+        if r is None or not r["n"]:
+            continue
+        n = r["n"]
         for j, q in enumerate(probs):
-            if not n:
-                continue
             pos = (n - 1) * q
             k0 = int(math.floor(pos))
-            k1 = min(k0 + 1, n - 1)
-            b = first[f"b{i}"]
-            targets.append({"i": i, "j": j, "k0": k0, "k1": k1, "frac": pos - k0,
-                            "lo": b[2 * j], "hi": b[2 * j + 1], "below": 0, "inside": n,
-                            "n": n})
-
-    rounds = 0
-    while targets:
-        rounds += 1
-        aggs = []
-        for t, tg in enumerate(targets):
-            x = clean_double(cols[tg["i"]])
-            inb = _in_bracket(x, tg)
-            below = x < F.lit(tg["lo"]) if tg["lo"] is not None else F.lit(False)
-            aggs += [F.count_if(below).alias(f"lo{t}"), F.count_if(inb).alias(f"in{t}"),
-                     F.approx_count_distinct(F.when(inb, x)).alias(f"d{t}")]
-        st = df.agg(*aggs).first()
+            targets.append({"ci": ci, "j": j, "k0": k0, "k1": min(k0 + 1, n - 1),
+                            "frac": pos - k0, "lo": r["b"][2 * j], "hi": r["b"][2 * j + 1],
+                            "below": 0, "inside": n})
+    if not targets:
+        return {c: [None] * len(probs) for c in cols}
+
+    for rounds in range(1, 9):
+        tg = _targets_frame(spark, targets)
+        j = long.join(F.broadcast(tg), "ci")
+        inb = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
+        st = {r["t"]: r for r in j.groupBy("t").agg(
+            F.count_if(F.col("v") < F.col("lo")).alias("below"),
+            F.count_if(inb).alias("inside"),
+            F.approx_count_distinct(F.when(inb, F.col("v"))).alias("d")).collect()}
         wide = []
-        for t, tg in enumerate(targets):
-            tg["below"], tg["inside"] = st[f"lo{t}"], st[f"in{t}"]
-            if tg["below"] > tg["k0"] or tg["below"] + tg["inside"] < tg["k1"] + 1:
-                # sketch bracket missed (should not happen): widen to the whole range
-                tg["lo"] = tg["hi"] = None
+        for t, g in enumerate(targets):
+            r = st.get(t)
+            g["below"], g["inside"] = (r["below"], r["inside"]) if r else (0, 0)
+            if g["below"] > g["k0"] or g["below"] + g["inside"] < g["k1"] + 1:
+                g["lo"], g["hi"] = -math.inf, math.inf      # sketch missed: whole range
                 wide.append(t)
-            elif st[f"d{t}"] > final_max_distinct and rounds < 8:
+            elif r["d"] > final_max_distinct:
                 wide.append(t)
         if not wide:
             break
-        # re-sketch wide brackets on their own rows only
-        aggs = []
+        # re-sketch the wide brackets on their own rows with a fixed grid
+        grid = [i / GRID for i in range(GRID + 1)]
+        sub = _targets_frame(spark, [targets[t] for t in wide], ids=wide)
+        js = long.join(F.broadcast(sub), "ci").where(
+            (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+        sk = {r["t"]: r["g"] for r in js.groupBy("t").agg(
+            F.percentile_approx("v", grid, accuracy).alias("g")).collect()}
         for t in wide:
-            tg = targets[t]
-            if tg["lo"] is None:
+            g, gv = targets[t], sk.get(t)
+            if gv is None:
                 continue
-            x = clean_double(cols[tg["i"]])
-            inside = max(tg["inside"], 1)
-            d = 2.0 / accuracy
-            p0 = max(0.0, (tg["k0"] - tg["below"]) / inside - d)
-            p1 = min(1.0, (tg["k1"] - tg["below"] + 1) / inside + d)
-            aggs.append(F.percentile_approx(F.when(_in_bracket(x, tg), x), [p0, p1],
-                                            accuracy).alias(f"r{t}"))
-        if aggs:
-            rs = df.agg(*aggs).first()
-            for t in wide:
-                if f"r{t}" in rs.asDict():
-                    targets[t]["lo"], targets[t]["hi"] = rs[f"r{t}"]
-        elif rounds >= 2:
-            break
-
-    values = _select_in_brackets(df, cols, targets)
+            n_in = max(1, g["inside"] if g["lo"] != -math.inf else g["inside"])
+            p0 = (g["k0"] - g["below"]) / n_in - delta
+            p1 = (g["k1"] - g["below"] + 1) / n_in + delta
+            i0 = max(0, int(math.floor(p0 * GRID)) - 1)
+            i1 = min(GRID, int(math.ceil(p1 * GRID)) + 1)
+            g["lo"], g["hi"] = gv[i0], gv[i1]
+
+    values = _select_in_brackets(spark, long, targets)
     out = {c: [None] * len(probs) for c in cols}
-    for t, tg in enumerate(targets):
-        v0, v1 = values[(t, 0)], values[(t, 1)]
-        out[cols[tg["i"]]][tg["j"]] = v0 + (v1 - v0) * tg["frac"] if tg["frac"] else v0
+    for t, g in enumerate(targets):
+        v0, v1 = values.get((t, 0)), values.get((t, 1))
+        out[cols[g["ci"]]][g["j"]] = v0 * (1.0 - g["frac"]) + v1 * g["frac"] if g["frac"] else v0
     return out
 
 
-def _in_bracket(x: Column, tg) -> Column:
-    cond = x.isNotNull()
-    if tg["lo"] is not None:
-        cond = cond & (x >= F.lit(tg["lo"]))
-    if tg["hi"] is not None:
-        cond = cond & (x <= F.lit(tg["hi"]))
-    return cond
+def _targets_frame(spark, targets, ids=None):
+    ids = ids if ids is not None else range(len(targets))
+    rows = [(t, g["ci"], float(g["lo"]), float(g["hi"]), g["k0"] - g["below"], g["k1"] - g["below"])
+            for t, g in zip(ids, targets)]
+    return spark.createDataFrame(rows, _TG_SCHEMA)
 
 
-def _select_in_brackets(df, cols, targets):
-    """Values at local ranks inside each (small) bracket: histogram + window."""
-    if not targets:
-        return {}
-    conds = []
-    for t, tg in enumerate(targets):
-        x = clean_double(cols[tg["i"]])
-        conds.append(F.when(_in_bracket(x, tg),
-                            F.struct(F.lit(t).alias("tid"), x.alias("v"))))
-    any_in = None
-    for t, tg in enumerate(targets):
-        c = _in_bracket(clean_double(cols[tg["i"]]), tg)
-        any_in = c if any_in is None else (any_in | c)
-    hist = (df.where(any_in)
-              .select(F.explode(F.array(*conds)).alias("e"))
-              .where(F.col("e").isNotNull())
-              .select("e.tid", "e.v")
-              .groupBy("tid", "v").count())
-    w = Window.partitionBy("tid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+def _select_in_brackets(spark, long, targets):
+    """Values at local ranks r0, r1 inside each (small) bracket: histogram + window."""
+    tg = _targets_frame(spark, targets)
+    hist = (long.join(F.broadcast(tg), "ci")
+                .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+                .groupBy("t", "r0", "r1", "v").count())
+    w = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     hist = hist.withColumn("cum", F.sum("count").over(w))
-    # local ranks wanted per target: r = k - below (0-based)
-    want = F.create_map(*[x for t, tg in enumerate(targets)
-                          for x in (F.lit(t), F.array(F.lit(tg["k0"] - tg["below"]),
-                                                      F.lit(tg["k1"] - tg["below"])))])
-    r = F.element_at(want, F.col("tid"))
     lo = F.col("cum") - F.col("count")
-    hit0 = (lo <= r[0]) & (r[0] < F.col("cum"))
-    hit1 = (lo <= r[1]) & (r[1] < F.col("cum"))
-    rows = hist.where(hit0 | hit1).select("tid", "v", hit0.alias("h0"), hit1.alias("h1")).collect()
+    hit0 = (lo <= F.col("r0")) & (F.col("r0") < F.col("cum"))
+    hit1 = (lo <= F.col("r1")) & (F.col("r1") < F.col("cum"))
     out = {}
-    for row in rows:
+    for row in hist.where(hit0 | hit1).select("t", "v", hit0.alias("h0"), hit1.alias("h1")).collect():
         if row["h0"]:
-            out[(row["tid"], 0)] = row["v"]
+            out[(row["t"], 0)] = row["v"]
         if row["h1"]:
-            out[(row["tid"], 1)] = row["v"]
+            out[(row["t"], 1)] = row["v"]
     return out
