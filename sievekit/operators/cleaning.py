@@ -54,38 +54,42 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str =
 
 
 def outlier_condition(c: str, lower: float, upper: float) -> Column:
-    """Strictly outside the bounds (null is not an outlier)."""
+    """Strictly outside the bounds (null and NaN are not outliers)."""
     x = clean_double(c)
     return (x < F.lit(lower)) | (x > F.lit(upper))
 
 
 def keep_condition(c: str, lower: float, upper: float) -> Column:
-    """lower <= v <= upper; a null value is dropped, as the reference's filter does."""
-    x = clean_double(c)
+    """lower <= v <= upper on the raw column, so Parquet gets the range as a
+    pushed filter. Null fails both sides; NaN (ordered above every number in
+    Spark) fails ``<= upper``: both are dropped, as the reference's filter does."""
+    x = F.col(c)
     return (x >= F.lit(lower)) & (x <= F.lit(upper))
 
 
 def filter_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5,
                     mode: str = "sequential", method: str = "exact",
-                    label: str | None = None) -> tuple[DataFrame, list[dict]]:
+                    label: str | None = None, count_outliers: bool = True
+                    ) -> tuple[DataFrame, list[dict]]:
     """C3 + C4: drop IQR outliers; returns the filtered frame and a per-column report.
 
     ``sequential`` (reference): bounds of column i are computed on rows kept by
     columns 1..i-1, so the result depends on the column order.
     ``simultaneous``: all bounds from the input in one pass, one combined filter.
     Bounds are literals in the filter, so they reach the Parquet scan.
+    ``count_outliers=False`` skips the C4 count pass (n_outliers is then None).
     """
     cols = [c for c in cols if c != label]
     report = []
     if mode == "simultaneous":
         bounds = iqr_bounds(df, cols, k, method)
         counts = df.agg(*[F.count_if(outlier_condition(c, *bounds[c][2:])).alias(f"o{i}")
-                          for i, c in enumerate(cols)]).first()
+                          for i, c in enumerate(cols)]).first() if count_outliers else {}
         cond = F.lit(True)
         for i, c in enumerate(cols):
             q1, q3, lo, hi = bounds[c]
             report.append({"column_name": c, "q1": q1, "q3": q3, "lower": lo, "upper": hi,
-                           "n_outliers": counts[f"o{i}"]})
+                           "n_outliers": counts[f"o{i}"] if count_outliers else None})
             cond = cond & keep_condition(c, lo, hi)
         return df.where(cond), report
     if mode != "sequential":
@@ -100,7 +104,8 @@ def filter_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5,
             report.append({"column_name": c, "q1": None, "q3": None, "lower": None,
                            "upper": None, "n_outliers": 0})
             continue
-        n_out = cur.agg(F.count_if(outlier_condition(c, lo, hi))).first()[0]
+        n_out = (cur.agg(F.count_if(outlier_condition(c, lo, hi))).first()[0]
+                 if count_outliers else None)
         report.append({"column_name": c, "q1": q1, "q3": q3, "lower": lo, "upper": hi,
                        "n_outliers": n_out})
         cur = cur.where(keep_condition(c, lo, hi))

@@ -93,6 +93,14 @@ def _exact(spark, long, cols, probs, accuracy, final_max_distinct):
     if not targets:
         return {c: [None] * len(probs) for c in cols}
 
+    # A sketch bracket holds at most ~6n/accuracy rows, so when that is small
+    # enough the exact counts and the selection run as one job.
+    max_n = max(r["n"] for r in first.values())
+    if 6.0 * max_n / accuracy <= final_max_distinct:
+        values = _select_in_brackets(spark, long, targets, fused=True)
+        if all((t, 0) in values and (t, 1) in values for t in range(len(targets))):
+            return _interpolate(cols, probs, targets, values)
+
     for rounds in range(1, 9):
         tg = _targets_frame(spark, targets)
         j = long.join(F.broadcast(tg), "ci")
@@ -131,6 +139,10 @@ def _exact(spark, long, cols, probs, accuracy, final_max_distinct):
             g["lo"], g["hi"] = gv[i0], gv[i1]
 
     values = _select_in_brackets(spark, long, targets)
+    return _interpolate(cols, probs, targets, values)
+
+
+def _interpolate(cols, probs, targets, values):
     out = {c: [None] * len(probs) for c in cols}
     for t, g in enumerate(targets):
         v0, v1 = values.get((t, 0)), values.get((t, 1))
@@ -145,12 +157,20 @@ def _targets_frame(spark, targets, ids=None):
     return spark.createDataFrame(rows, _TG_SCHEMA)
 
 
-def _select_in_brackets(spark, long, targets):
-    """Values at local ranks r0, r1 inside each (small) bracket: histogram + window."""
+def _select_in_brackets(spark, long, targets, fused: bool = False):
+    """Values at local ranks r0, r1 inside each (small) bracket: histogram + window.
+
+    ``fused``: the counts below each bracket are not known yet; they are
+    aggregated in the same job and subtracted from the absolute ranks."""
     tg = _targets_frame(spark, targets)
-    hist = (long.join(F.broadcast(tg), "ci")
-                .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                .groupBy("t", "r0", "r1", "v").count())
+    j = long.join(F.broadcast(tg), "ci")
+    hist = (j.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+             .groupBy("t", "r0", "r1", "v").count())
+    if fused:
+        below = j.groupBy("t").agg(F.count_if(F.col("v") < F.col("lo")).alias("below"))
+        hist = (hist.join(F.broadcast(below), "t")
+                    .withColumn("r0", F.col("r0") - F.col("below"))
+                    .withColumn("r1", F.col("r1") - F.col("below")).drop("below"))
     w = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     hist = hist.withColumn("cum", F.sum("count").over(w))
     lo = F.col("cum") - F.col("count")

@@ -23,16 +23,19 @@ def order_key(id_col: str, seed: int) -> Column:
 
 
 def stratified_rank(df: DataFrame, label: str, id_col: str, seed: int = 42,
-                    digits: int = 3, rank_col: str = "_rank") -> DataFrame:
+                    digits: int = 3, rank_col: str = "_rank",
+                    n_classes: int | None = None) -> DataFrame:
     """Adds ``rank_col``: 0-based position of the row inside its class in the
-    order (md5(id|seed), id)."""
+    order (md5(id|seed), id). With ``n_classes`` known the offsets table is
+    bounded by n_classes * 16**digits rows without counting it."""
     key = order_key(id_col, seed)
     df = df.withColumn("_k", key).withColumn("_sb", F.conv(F.substring("_k", 1, digits), 16, 10)
                                                .cast("int"))
     sizes = df.groupBy(label, "_sb").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(label).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    n_groups = sizes.count()   # <= K * 16**digits, a bounded aggregate
+    bound = n_classes * 16 ** digits if n_classes is not None else None
+    n_groups = bound if bound is not None and bound <= MAX_BROADCAST_ROWS else sizes.count()
     if n_groups <= MAX_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     w = Window.partitionBy(label, "_sb").orderBy("_k", id_col)

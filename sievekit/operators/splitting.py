@@ -57,8 +57,9 @@ def stratified_holdout(df: DataFrame, label: str, id_col: str, test_size: float
     """Adds ``split`` in {'train','test'} with exact class-proportional sizes.
 
     Rows of a class are ranked by md5(id|seed); the first t_c ranks go to test."""
-    alloc = allocate_test(class_counts(df, label), test_size)
-    ranked = stratified_rank(df, label, id_col, seed)
+    counts = class_counts(df, label)
+    alloc = allocate_test(counts, test_size)
+    ranked = stratified_rank(df, label, id_col, seed, n_classes=len(counts))
     t = F.element_at(_label_map(alloc), F.col(label))
     return ranked.withColumn(split_col, F.when(F.col("_rank") < t, F.lit("test"))
                              .otherwise(F.lit("train"))).drop("_rank")
@@ -70,5 +71,5 @@ def stratified_kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: i
     counts = class_counts(df, label)
     if all(v < k for v in counts.values()):
         raise ValueError(f"n_splits={k} cannot be greater than the number of members in each class")
-    ranked = stratified_rank(df, label, id_col, seed)
+    ranked = stratified_rank(df, label, id_col, seed, n_classes=len(counts))
     return ranked.withColumn(fold_col, F.pmod(F.col("_rank"), F.lit(k)).cast("int")).drop("_rank")

@@ -27,9 +27,10 @@ def soft_vote_long(probs: DataFrame, id_col: str = "id", class_col: str = "class
     """Long (id, model, class, p) -> (id, prediction, confidence).
 
     avg per (id, class), then per id the class with the largest mean; ties go
-    to the lowest class via min(struct(-p, class)). Both steps are aggregates
-    with map-side combine."""
-    mean = probs.groupBy(id_col, class_col).agg(F.avg(p_col).alias("_p"))
+    to the lowest class via min(struct(-p, class))."""
+    # one shuffle by id serves both aggregates (hash(id) already clusters
+    # (id, class)); a single id holds at most models x classes rows
+    mean = probs.repartition(id_col).groupBy(id_col, class_col).agg(F.avg(p_col).alias("_p"))
     best = mean.groupBy(id_col).agg(F.min(F.struct((-F.col("_p")).alias("np"),
                                                    F.col(class_col).alias("c"))).alias("_b"))
     return best.select(id_col, F.col("_b.c").alias("prediction"),

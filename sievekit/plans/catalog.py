@@ -168,7 +168,7 @@ def q_flagship(spark, d):
     """events -> IQR filter on value (C3) -> log1p (F5) -> stratified split
     -> per (split, class) counts and means."""
     ev = table(spark, d, "events").select("event_id", "event_type", "value")
-    kept, _ = cleaning.filter_outliers(ev, ["value"])
+    kept, _ = cleaning.filter_outliers(ev, ["value"], count_outliers=False)
     feat = kept.withColumn("log_value", fx.log1p("value"))
     sp = splitting.stratified_holdout(feat, "event_type", "event_id", 0.2, 42)
     return sp.groupBy("split", "event_type").agg(
@@ -322,14 +322,14 @@ s2 AS (SELECT s1.* FROM s1, b2 WHERE {second} >= q1 - 1.5 * (q3 - q1) AND {secon
 @register("c3_sequential_outliers",
           _seq_sql("n_chars", "words", "SELECT doc_id, n_chars, words FROM s2"))
 def q_c3(spark, d):
-    kept, _ = cleaning.filter_outliers(docs_words(spark, d), ["n_chars", "words"])
+    kept, _ = cleaning.filter_outliers(docs_words(spark, d), ["n_chars", "words"], count_outliers=False)
     return kept.select("doc_id", "n_chars", "words")
 
 
 @register("c3_sequential_outliers_reversed",
           _seq_sql("words", "n_chars", "SELECT doc_id, n_chars, words FROM s2"))
 def q_c3r(spark, d):
-    kept, _ = cleaning.filter_outliers(docs_words(spark, d), ["words", "n_chars"])
+    kept, _ = cleaning.filter_outliers(docs_words(spark, d), ["words", "n_chars"], count_outliers=False)
     return kept.select("doc_id", "n_chars", "words")
 
 
@@ -341,7 +341,8 @@ WHERE value >= v1 - 1.5 * (v3 - v1) AND value <= v3 + 1.5 * (v3 - v1)
   AND user_id >= u1 - 1.5 * (u3 - u1) AND user_id <= u3 + 1.5 * (u3 - u1)""")
 def q_c3s(spark, d):
     ev = table(spark, d, "events").select("event_id", "value", "user_id")
-    kept, _ = cleaning.filter_outliers(ev, ["value", "user_id"], mode="simultaneous")
+    kept, _ = cleaning.filter_outliers(ev, ["value", "user_id"], mode="simultaneous",
+                                       count_outliers=False)
     return kept
 
 
