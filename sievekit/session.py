@@ -56,4 +56,4 @@ def work_dir(spark: SparkSession, name: str | None = None) -> str:
         sc.setCheckpointDir(base)
     base = sc.getCheckpointDir() or base
     sub = f"{name or 'job'}-{uuid.uuid4().hex[:12]}"
-    return base.rstrip("/") + "/" + sub if "://" in base else os.path.join(base, sub)
+    return base.rstrip("/") + "/" + sub     # URI (file:/, hdfs://, s3a://) or plain path
