@@ -52,10 +52,13 @@ def load_model(path: str):
 
 def fresh_inputs(spark: SparkSession, path: str, max_age_hours: float = 24.0,
                  now: dt.datetime | None = None) -> DataFrame:
-    """Per input file, its modification time and whether it is younger than
-    ``max_age_hours`` (file metadata only; one row per file)."""
+    """Per input file, its size, modification time and whether it is younger
+    than ``max_age_hours`` (file listing only; one row per file)."""
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     cutoff = now - dt.timedelta(hours=max_age_hours)
-    df = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_modification_time")
-    files = df.groupBy("file_path").agg(F.max("file_modification_time").alias("modified"))
+    # binaryFile lists files; without the ``content`` column no file is opened
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                  .option("recursiveFileLookup", "true").load(path)
+                  .select(F.col("path").alias("file_path"), F.col("length").alias("size_bytes"),
+                          F.col("modificationTime").alias("modified")))
     return files.withColumn("is_fresh", F.col("modified") >= F.lit(cutoff).cast("timestamp"))
