@@ -116,12 +116,14 @@ def drop_exact_duplicates(df: DataFrame, subset: Sequence[str] | None = None,
                           order_by: str | None = None) -> DataFrame:
     """Keep one row per identical row (or per key subset, the first by ``order_by``).
 
-    Whole-row: ``dropDuplicates`` (hash aggregate with map-side combine).
+    Whole-row: hash-first (``dedup``): rows with a unique row hash skip the
+    shuffle; repeating hash groups are de-duplicated exactly.
     Key subset: ``min_by`` aggregate, so a hot key is reduced partially before
     the shuffle instead of sorting its whole group in one window task.
     """
     if subset is None:
-        return df.dropDuplicates()
+        from sievekit.operators.dedup import drop_duplicates
+        return drop_duplicates(df)
     if order_by is None:
         return df.dropDuplicates(list(subset))
     others = [c for c in df.columns if c not in subset]

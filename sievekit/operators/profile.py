@@ -51,12 +51,10 @@ def missing_total(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 def duplicate_count(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Rows beyond the first of each identical (key) row; null equals null.
 
-    groupBy with map-side partial counts: a hot key collapses before the shuffle.
-    """
-    keys = list(keys or df.columns)
-    g = df.groupBy(*[F.col(f"`{k}`") for k in keys]).count()
-    return g.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint")
-                 .alias("n_duplicates"))
+    Hash-first (see ``dedup``): only hashes are shuffled for unique rows; a hot
+    duplicate collapses in the map-side partial count."""
+    from sievekit.operators.dedup import duplicate_count as _hash_first
+    return _hash_first(df, keys)
 
 
 def label_distribution(df: DataFrame, label: str) -> DataFrame:

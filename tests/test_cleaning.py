@@ -87,3 +87,17 @@ def test_missing_profile(spark):
     assert got == {"a": 1, "s": 1}
     assert profile.missing_total(df).first()[0] == 2
     assert profile.numeric_columns(df) == ["a"]
+
+
+def test_hash_first_dedup_is_exact_under_collisions(spark):
+    # Spark's row hashes skip nulls, so these two different rows collide
+    df = spark.createDataFrame([(1, None), (None, 1), (2, 2), (2, 2)], "a int, b int")
+    assert profile.duplicate_count(df).first()[0] == 1
+    assert sorted(map(tuple, cleaning.drop_exact_duplicates(df).collect()),
+                  key=str) == sorted([(1, None), (None, 1), (2, 2)], key=str)
+
+
+def test_hash_first_dedup_matches_groupby_semantics_for_floats(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),), (1.0,)], "x double")
+    assert profile.duplicate_count(df).first()[0] == df.count() - df.distinct().count() == 2
+    assert cleaning.drop_exact_duplicates(df).count() == 3
