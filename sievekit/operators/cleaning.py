@@ -69,8 +69,8 @@ def keep_condition(c: str, lower: float, upper: float) -> Column:
 
 def filter_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5,
                     mode: str = "sequential", method: str = "exact",
-                    label: str | None = None, count_outliers: bool = True
-                    ) -> tuple[DataFrame, list[dict]]:
+                    label: str | None = None, count_outliers: bool = True,
+                    checkpoint: bool = False) -> tuple[DataFrame, list[dict]]:
     """C3 + C4: drop IQR outliers; returns the filtered frame and a per-column report.
 
     ``sequential`` (reference): bounds of column i are computed on rows kept by
@@ -78,8 +78,16 @@ def filter_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5,
     ``simultaneous``: all bounds from the input in one pass, one combined filter.
     Bounds are literals in the filter, so they reach the Parquet scan.
     ``count_outliers=False`` skips the C4 count pass (n_outliers is then None).
+    ``checkpoint=True`` writes ``df`` once to ``spark.checkpoint.dir`` first
+    (reliable checkpoint) so that columns derived by costly expressions (e.g.
+    word counts of long texts) are not recomputed by every pass; pass only the
+    columns needed.
     """
     cols = [c for c in cols if c != label]
+    if checkpoint:
+        from sievekit.session import work_dir
+        work_dir(df.sparkSession)          # ensures a checkpoint folder exists
+        df = df.checkpoint(eager=True)
     report = []
     if mode == "simultaneous":
         bounds = iqr_bounds(df, cols, k, method)

@@ -322,14 +322,16 @@ s2 AS (SELECT s1.* FROM s1, b2 WHERE {second} >= q1 - 1.5 * (q3 - q1) AND {secon
 @register("c3_sequential_outliers",
           _seq_sql("n_chars", "words", "SELECT doc_id, n_chars, words FROM s2"))
 def q_c3(spark, d):
-    kept, _ = cleaning.filter_outliers(docs_words(spark, d), ["n_chars", "words"], count_outliers=False)
+    kept, _ = cleaning.filter_outliers(docs_words(spark, d), ["n_chars", "words"],
+                                       count_outliers=False, checkpoint=True)
     return kept.select("doc_id", "n_chars", "words")
 
 
 @register("c3_sequential_outliers_reversed",
           _seq_sql("words", "n_chars", "SELECT doc_id, n_chars, words FROM s2"))
 def q_c3r(spark, d):
-    kept, _ = cleaning.filter_outliers(docs_words(spark, d), ["words", "n_chars"], count_outliers=False)
+    kept, _ = cleaning.filter_outliers(docs_words(spark, d), ["words", "n_chars"],
+                                       count_outliers=False, checkpoint=True)
     return kept.select("doc_id", "n_chars", "words")
 
 
@@ -356,7 +358,7 @@ SELECT 'words', round(q1 - 1.5 * (q3 - q1), 6), round(q3 + 1.5 * (q3 - q1), 6),
   (SELECT count(*) FROM s1 WHERE words < q1 - 1.5 * (q3 - q1) OR words > q3 + 1.5 * (q3 - q1))
 FROM b2"""))
 def q_c4(spark, d):
-    _, report = cleaning.filter_outliers(docs_words(spark, d), ["n_chars", "words"])
+    _, report = cleaning.filter_outliers(docs_words(spark, d), ["n_chars", "words"], checkpoint=True)
     rows = [(r["column_name"], r["lower"], r["upper"], r["n_outliers"]) for r in report]
     df = spark.createDataFrame(rows, "column_name string, lower double, upper double, n_outliers bigint")
     return df.select("column_name", rnd("lower").alias("lower"), rnd("upper").alias("upper"),

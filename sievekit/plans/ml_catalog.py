@@ -45,7 +45,8 @@ def prepared(spark, d):
     sp = splitting.stratified_holdout(df, "label", "vec_id")
     path = write_split(sp, work_dir(spark, "mlsplit"))
     feat = lambda x: x.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
-    return feat(read_split(spark, path, "train")), feat(read_split(spark, path, "test")), lm
+    return (training.spread(feat(read_split(spark, path, "train"))),
+            feat(read_split(spark, path, "test")), lm)
 
 
 def _decoded(scored: DataFrame, lm, prob_col="probability") -> DataFrame:

@@ -73,6 +73,16 @@ def fit_label_map(df: DataFrame, label: str, index_col: str = "label_idx") -> La
     return LabelMap(sorted(r[0] for r in rows), label, index_col)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Training input with at least one partition per executor core.
+
+    Tree and linear learners run one task per partition and iteration, so a
+    small split file read as one partition would train on a single core. A
+    frame that already has enough partitions is returned unchanged (no shuffle)."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 # ---------------------------------------------------------------- estimators
 def forest(num_trees: int = 100, max_depth: int | None = 10, seed: int = 42,
            label_col: str = "label_idx", features_col: str = "features", **kw) -> RandomForestClassifier:
