@@ -134,6 +134,30 @@ def cv_summary(scores: DataFrame, model: str = "model", score: str = "score") ->
                                      (2 * F.stddev_pop(score)).alias("cv_two_std"))
 
 
+def per_model_scores(long: DataFrame, model: str = "model", label: str = "y",
+                     pred: str = "p") -> DataFrame:
+    """(model, accuracy, f1_score) for many models at once, from one
+    ``groupBy(model, label, pred).count()`` (<= M x K^2 rows): one pass over the
+    scored rows instead of one report per model."""
+    pc = (long.where(F.col(label).isNotNull() & F.col(pred).isNotNull())
+              .groupBy(model, F.col(label).alias("y"), F.col(pred).alias("p"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    tp = pc.where(F.col("y") == F.col("p")).groupBy(model, F.col("y").alias("c")).agg(F.sum("n").alias("tp"))
+    sup = pc.groupBy(model, F.col("y").alias("c")).agg(F.sum("n").alias("support"))
+    prd = pc.groupBy(model, F.col("p").alias("c")).agg(F.sum("n").alias("npred"))
+    cls = pc.select(model, F.col("y").alias("c")).union(pc.select(model, F.col("p").alias("c"))).distinct()
+    per = (cls.join(tp, [model, "c"], "left").join(sup, [model, "c"], "left")
+              .join(prd, [model, "c"], "left").na.fill(0, ["tp", "support", "npred"]))
+    pr = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred")), F.lit(0.0))
+    rc = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
+    per = per.withColumns({"_p": pr, "_r": rc})
+    per = per.withColumn("_f", F.coalesce(F.try_divide(2 * F.col("_p") * F.col("_r"),
+                                                       F.col("_p") + F.col("_r")), F.lit(0.0)))
+    return per.groupBy(model).agg(
+        (F.sum("tp") / F.sum("support")).alias("accuracy"),
+        (F.sum(F.col("_f") * F.col("support")) / F.sum("support")).alias("f1_score"))
+
+
 def leaderboard(results: DataFrame, score: str = "f1_score", position: str = "position") -> DataFrame:
     """V8: models ranked by score (desc), first position wins ties. The input is
     one row per model (bounded), so the unpartitioned rank window is tiny."""

@@ -9,7 +9,7 @@ every pass has the same small plan however many columns are asked for.
 
 1. one pass: per column ``count`` and a ``percentile_approx`` sketch bracket
    around each wanted rank (rank error <= n/accuracy, bounded memory);
-2. one pass: the bracket table (one row per wanted quantile, broadcast) gives
+2. one pass: the bracket table (one literal row per wanted quantile) gives
    exact counts below / inside each bracket and an estimate of the distinct
    values inside; a bracket that is still wide is re-sketched on its own rows
    with a fixed grid (each round shrinks it ~1000x);
@@ -66,7 +66,6 @@ def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.inline(arr)).where(F.col("v").isNotNull())
 
 
-_TG_SCHEMA = "t int, ci int, lo double, hi double, r0 long, r1 long"
 GRID = 1000
 
 
@@ -84,12 +83,17 @@ def _exact(spark, long, cols, probs, accuracy, final_max_distinct):
         if r is None or not r["n"]:
             continue
         n = r["n"]
+        # the bracket q +- 2/accuracy spans >= 4 ranks only when n >= 2*accuracy
+        small = n < 2 * accuracy and n <= final_max_distinct
         for j, q in enumerate(probs):
             pos = (n - 1) * q
             k0 = int(math.floor(pos))
-            targets.append({"ci": ci, "j": j, "k0": k0, "k1": min(k0 + 1, n - 1),
-                            "frac": pos - k0, "lo": r["b"][2 * j], "hi": r["b"][2 * j + 1],
-                            "below": 0, "inside": n})
+            frac = pos - k0
+            # a small column's whole histogram is small: no bracket needed
+            # (a sketch bracket narrower than one rank could miss)
+            lo, hi = (-math.inf, math.inf) if small else (r["b"][2 * j], r["b"][2 * j + 1])
+            targets.append({"ci": ci, "j": j, "k0": k0, "k1": min(k0 + 1, n - 1) if frac else k0,
+                            "frac": frac, "lo": lo, "hi": hi, "below": 0, "inside": n})
     if not targets:
         return {c: [None] * len(probs) for c in cols}
 
@@ -102,8 +106,7 @@ def _exact(spark, long, cols, probs, accuracy, final_max_distinct):
             return _interpolate(cols, probs, targets, values)
 
     for rounds in range(1, 9):
-        tg = _targets_frame(spark, targets)
-        j = long.join(F.broadcast(tg), "ci")
+        j = _with_targets(long, targets)
         inb = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
         st = {r["t"]: r for r in j.groupBy("t").agg(
             F.count_if(F.col("v") < F.col("lo")).alias("below"),
@@ -122,8 +125,7 @@ def _exact(spark, long, cols, probs, accuracy, final_max_distinct):
             break
         # re-sketch the wide brackets on their own rows with a fixed grid
         grid = [i / GRID for i in range(GRID + 1)]
-        sub = _targets_frame(spark, [targets[t] for t in wide], ids=wide)
-        js = long.join(F.broadcast(sub), "ci").where(
+        js = _with_targets(long, [targets[t] for t in wide], ids=wide).where(
             (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
         sk = {r["t"]: r["g"] for r in js.groupBy("t").agg(
             F.percentile_approx("v", grid, accuracy).alias("g")).collect()}
@@ -150,32 +152,46 @@ def _interpolate(cols, probs, targets, values):
     return out
 
 
-def _targets_frame(spark, targets, ids=None):
-    ids = ids if ids is not None else range(len(targets))
-    rows = [(t, g["ci"], float(g["lo"]), float(g["hi"]), g["k0"] - g["below"], g["k1"] - g["below"])
-            for t, g in zip(ids, targets)]
-    return spark.createDataFrame(rows, _TG_SCHEMA)
+def _with_targets(long: DataFrame, targets, ids=None) -> DataFrame:
+    """(ci, v) rows joined with their column's brackets (t, lo, hi, r0, r1).
+
+    The bracket table is a handful of scalars per wanted quantile, so it is a
+    literal map ci -> array<struct> expanded by ``inline``: a narrow generate,
+    no join and no broadcast job."""
+    ids = list(ids) if ids is not None else list(range(len(targets)))
+    by_ci: dict[int, list] = {}
+    for t, g in zip(ids, targets):
+        by_ci.setdefault(g["ci"], []).append(F.struct(
+            F.lit(t).cast("int").alias("t"), F.lit(float(g["lo"])).cast("double").alias("lo"),
+            F.lit(float(g["hi"])).cast("double").alias("hi"),
+            F.lit(g["k0"] - g["below"]).cast("long").alias("r0"),
+            F.lit(g["k1"] - g["below"]).cast("long").alias("r1")))
+    m = F.create_map(*[x for ci, lst in by_ci.items() for x in (F.lit(ci), F.array(*lst))])
+    return long.select("v", F.inline(F.try_element_at(m, F.col("ci"))))
 
 
 def _select_in_brackets(spark, long, targets, fused: bool = False):
-    """Values at local ranks r0, r1 inside each (small) bracket: histogram + window.
-
-    ``fused``: the counts below each bracket are not known yet; they are
-    aggregated in the same job and subtracted from the absolute ranks."""
-    tg = _targets_frame(spark, targets)
-    j = long.join(F.broadcast(tg), "ci")
-    hist = (j.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-             .groupBy("t", "r0", "r1", "v").count())
+    """Values at ranks r0, r1 inside each (small) bracket: histogram + window.
+
+    ``fused``: the counts below each bracket are not known yet. Rows below a
+    bracket collapse (map-side) into one 'below' bucket per target that sorts
+    first, so the window's running count is the absolute rank."""
+    j = _with_targets(long, targets)
+    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
     if fused:
-        below = j.groupBy("t").agg(F.count_if(F.col("v") < F.col("lo")).alias("below"))
-        hist = (hist.join(F.broadcast(below), "t")
-                    .withColumn("r0", F.col("r0") - F.col("below"))
-                    .withColumn("r1", F.col("r1") - F.col("below")).drop("below"))
-    w = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        below = v < lo
+        keep = below | (v <= hi)
+        j = j.where(keep).select("t", "r0", "r1", below.alias("b"),
+                                 F.when(below, F.lit(None)).otherwise(v).alias("v"))
+    else:
+        j = j.where((v >= lo) & (v <= hi)).select("t", "r0", "r1", F.lit(False).alias("b"), "v")
+    hist = j.groupBy("t", "r0", "r1", "b", "v").count()
+    w = (Window.partitionBy("t").orderBy(F.desc("b"), F.asc("v"))
+               .rowsBetween(Window.unboundedPreceding, 0))
     hist = hist.withColumn("cum", F.sum("count").over(w))
-    lo = F.col("cum") - F.col("count")
-    hit0 = (lo <= F.col("r0")) & (F.col("r0") < F.col("cum"))
-    hit1 = (lo <= F.col("r1")) & (F.col("r1") < F.col("cum"))
+    start = F.col("cum") - F.col("count")
+    hit0 = ~F.col("b") & (start <= F.col("r0")) & (F.col("r0") < F.col("cum"))
+    hit1 = ~F.col("b") & (start <= F.col("r1")) & (F.col("r1") < F.col("cum"))
     out = {}
     for row in hist.where(hit0 | hit1).select("t", "v", hit0.alias("h0"), hit1.alias("h1")).collect():
         if row["h0"]:

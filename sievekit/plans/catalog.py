@@ -751,33 +751,11 @@ def q_v7(spark, d):
 
 
 def _model_results(spark, d) -> DataFrame:
-    """Per pseudo model: accuracy and weighted F1 from one pass over the pair counts."""
+    """Per pseudo model: accuracy and weighted F1 from one pair-count pass."""
     pp = pseudo_predictions(spark, d)
-    pc = pp.groupBy("model", "position", "y", "pred").agg(F.count(F.lit(1)).alias("n"))
-    out = None
-    for m in range(1, N_PSEUDO_MODELS + 1):
-        sub = pc.where(F.col("position") == m)
-        # weighted F1 straight from the pair-count table (no re-scan of rows)
-        rep = _report_from_pairs(sub)
-        row = rep.select(F.lit(f"model_{m}").alias("model"), F.lit(m).alias("position"),
-                         "accuracy", "f1_score")
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
-def _report_from_pairs(pc: DataFrame) -> DataFrame:
-    tp = pc.where(F.col("y") == F.col("pred")).groupBy(F.col("y").alias("c")).agg(F.sum("n").alias("tp"))
-    sup = pc.groupBy(F.col("y").alias("c")).agg(F.sum("n").alias("support"))
-    prd = pc.groupBy(F.col("pred").alias("c")).agg(F.sum("n").alias("npred"))
-    cls = pc.select(F.col("y").alias("c")).union(pc.select(F.col("pred").alias("c"))).distinct()
-    per = cls.join(tp, "c", "left").join(sup, "c", "left").join(prd, "c", "left").na.fill(0)
-    p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred")), F.lit(0.0))
-    r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
-    per = per.withColumns({"p": p, "r": r})
-    per = per.withColumn("f", F.coalesce(F.try_divide(2 * F.col("p") * F.col("r"),
-                                                      F.col("p") + F.col("r")), F.lit(0.0)))
-    return per.agg((F.sum("tp") / F.sum("support")).alias("accuracy"),
-                   (F.sum(F.col("f") * F.col("support")) / F.sum("support")).alias("f1_score"))
+    scores = evaluation.per_model_scores(pp, "model", "y", "pred")
+    pos = pp.select("model", "position").distinct()
+    return scores.join(pos, "model").select("model", "position", "accuracy", "f1_score")
 
 
 _RESULTS_SQL = "WITH " + PRED_SQL + """,

@@ -45,8 +45,7 @@ def prepared(spark, d):
     sp = splitting.stratified_holdout(df, "label", "vec_id")
     path = write_split(sp, work_dir(spark, "mlsplit"))
     feat = lambda x: x.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
-    return (training.spread(feat(read_split(spark, path, "train"))),
-            feat(read_split(spark, path, "test")), lm)
+    return feat(read_split(spark, path, "train")), feat(read_split(spark, path, "test")), lm
 
 
 def _decoded(scored: DataFrame, lm, prob_col="probability") -> DataFrame:
@@ -61,14 +60,14 @@ def _decoded(scored: DataFrame, lm, prob_col="probability") -> DataFrame:
 @register("m1_forest")
 def q_m1(spark, d):
     train, test, lm = prepared(spark, d)
-    model = training.forest(100, 10, 42).fit(train)
+    model = training.forest(100, 10, 42).fit(training.spread(train))
     return _decoded(model.transform(test), lm)
 
 
 @register("m2_forest_grid")
 def q_m2(spark, d):
     train, test, lm = prepared(spark, d)
-    train = splitting.stratified_kfold(train, "label", "vec_id", 5).cache()
+    train = training.spread(splitting.stratified_kfold(train, "label", "vec_id", 5)).cache()
     est = training.forest()
     cv = training.cross_validate(est, training.forest_grid(est, "compact"), train)
     return _decoded(cv.bestModel.transform(test), lm)
@@ -110,7 +109,7 @@ def q_m5(spark, d):
 @register("m6_extra_trees")
 def q_m6(spark, d):
     train, test, lm = prepared(spark, d)
-    model = training.extra_trees(100, None, 42).fit(train)
+    model = training.extra_trees(100, None, 42).fit(training.spread(train))
     return _decoded(model.transform(test), lm)
 
 
@@ -136,10 +135,11 @@ def q_m8m(spark, d):
     """Forest + extra trees + boosted: average probabilities row-locally, argmax."""
     train, test, lm = prepared(spark, d)
     train = train.cache()
+    wide = training.spread(train)
     rf = training.forest(50, 10, 42).setProbabilityCol("p_rf").setRawPredictionCol("r_rf") \
-        .setPredictionCol("y_rf").fit(train)
+        .setPredictionCol("y_rf").fit(wide)
     et = training.extra_trees(50, 12, 42).setProbabilityCol("p_et").setRawPredictionCol("r_et") \
-        .setPredictionCol("y_et").fit(train)
+        .setPredictionCol("y_et").fit(wide)
     gb = training.fit_boosted_prob(train, len(lm.labels), maxIter=10, maxDepth=3, seed=42)
     scored = gb.transform(et.transform(rf.transform(test)), out="p_gb")
     scored = scored.withColumn("p_rf", prob_array("p_rf")).withColumn("p_et", prob_array("p_et"))
@@ -152,7 +152,7 @@ def q_m8m(spark, d):
 def q_m9(spark, d):
     """Seeded random parameter maps evaluated by 5-fold CV (weighted F1)."""
     train, _, _ = prepared(spark, d)
-    train = splitting.stratified_kfold(train, "label", "vec_id", 5).cache()
+    train = training.spread(splitting.stratified_kfold(train, "label", "vec_id", 5)).cache()
     est = training.forest()
     maps = training.random_search_space(est, 3, seed=42)
     cv = training.cross_validate(est, maps, train)
@@ -165,7 +165,7 @@ def q_m9(spark, d):
 def q_m10(spark, d):
     """Best trial refitted on the whole train split, evaluated on the hold-out."""
     train, test, lm = prepared(spark, d)
-    train = splitting.stratified_kfold(train, "label", "vec_id", 5).cache()
+    train = training.spread(splitting.stratified_kfold(train, "label", "vec_id", 5)).cache()
     est = training.forest()
     cv = training.cross_validate(est, training.random_search_space(est, 3, seed=42), train)
     model, params, cv_f1 = training.refit_best(cv, est, train)
@@ -178,7 +178,7 @@ def q_m10(spark, d):
 def q_i2(spark, d):
     """Whole test table scored in one transform: label, confidence, tier, percent."""
     train, test, lm = prepared(spark, d)
-    model = training.forest(50, 10, 42).fit(train)
+    model = training.forest(50, 10, 42).fit(training.spread(train))
     return scoring.score(test, model, lm, keep=("vec_id",))
 
 
@@ -268,3 +268,42 @@ def q_s10(spark, d):
     n3 = changed_inputs(spark, inbox, schema, transform, out, ck)
     res = spark.read.parquet(out)
     return res.withColumn("rows_per_run", F.lit(f"{n1},{n2},{n3}"))
+
+
+# ---------------------------------------------------------------- end-to-end flows
+def _events_gappy(spark, d):
+    from sievekit.plans.catalog import events_with_gaps
+    return events_with_gaps(spark, d)
+
+
+@register("prepare_data_stage")
+def q_prepare(spark, d):
+    """Data stage on events: impute (value, user_id nulls), sequential IQR,
+    rename, exact split written once; the written table read back."""
+    from sievekit.plans.experiment import prepare_data
+    out = work_dir(spark, "prepared")
+    prepare_data(_events_gappy(spark, d), "event_type", "event_id", out,
+                 rename={"value": "amount"})
+    return read_split(spark, out)
+
+
+@register("train_baseline_stage")
+def q_train_baseline(spark, d):
+    """Model stage: forest on the prepared events split; the runs table read back."""
+    from sievekit.plans.experiment import prepare_data, train_baseline
+    base = work_dir(spark, "baseline")
+    prepare_data(_events_gappy(spark, d), "event_type", "event_id", f"{base}/split")
+    train_baseline(spark, f"{base}/split", ["value", "user_id"], "event_type", f"{base}/model",
+                   f"{base}/runs", f"{base}/confusion", num_trees=50, max_depth=8)
+    return read_runs(spark, f"{base}/runs")
+
+
+@register("experiment_leaderboard")
+def q_experiment(spark, d):
+    """Full experiment on 11 embedding dimensions: dedupe, IQR, k-best (train
+    rows), forest / extra trees / boosted / linear SVC / soft vote, leaderboard."""
+    from sievekit.plans.experiment import run_experiment
+    emb = table(spark, d, "embeddings")
+    df = emb.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"f{i}")
+                                         for i in range(11)])
+    return run_experiment(spark, df, [f"f{i}" for i in range(11)], "label", "vec_id", k_best=8)

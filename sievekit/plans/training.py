@@ -74,11 +74,11 @@ def fit_label_map(df: DataFrame, label: str, index_col: str = "label_idx") -> La
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Training input with at least one partition per executor core.
-
-    Tree and linear learners run one task per partition and iteration, so a
-    small split file read as one partition would train on a single core. A
-    frame that already has enough partitions is returned unchanged (no shuffle)."""
+    """Training input with at least one partition per executor core, for the
+    compute-heavy tree ensembles (a small split file read as one partition
+    would grow all trees on one core). Iterative learners (boosting, linear
+    SVC) are job-latency bound on small inputs and are not spread. A frame
+    that already has enough partitions is returned unchanged (no shuffle)."""
     want = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
