@@ -90,23 +90,23 @@ def li_row_id():
                               ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")])
 
 
-def pseudo_predictions(spark, d) -> DataFrame:
+def pseudo_predictions(spark, d, li: DataFrame | None = None, keep: tuple = ()) -> DataFrame:
     """A given prediction table: (row_id, y, model, position, pred) for 3 pseudo models.
 
-    Model m replaces the true class when (l_orderkey + l_partkey*m) % (m+2) = 0."""
-    li = table(spark, d, "lineitem")
-    rows = []
+    Model m replaces the true class when (l_orderkey + l_partkey*m) % (m+2) = 0.
+    One scan; the models' rows come from exploding an array of structs, so
+    anything computed upstream (``li`` with ``keep`` columns) is computed once."""
+    li = li if li is not None else table(spark, d, "lineitem")
+    wrong = ((F.col("l_linenumber") + F.col("l_suppkey") % 3) % 7) + 1
+    per_model = []
     for m in range(1, N_PSEUDO_MODELS + 1):
-        wrong = ((F.col("l_linenumber") + F.col("l_suppkey") % 3) % 7) + 1
         pred = F.when((F.col("l_orderkey") + F.col("l_partkey") * m) % (m + 2) == 0, wrong) \
                 .otherwise(F.col("l_linenumber"))
-        rows.append(li.select(li_row_id().alias("row_id"),
-                              F.col("l_linenumber").alias("y"), F.lit(f"model_{m}").alias("model"),
-                              F.lit(m).alias("position"), pred.cast("int").alias("pred")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+        per_model.append(F.struct(F.lit(f"model_{m}").alias("model"), F.lit(m).alias("position"),
+                                  pred.cast("int").alias("pred")))
+    return li.select(li_row_id().alias("row_id"), F.col("l_linenumber").alias("y"), *keep,
+                     F.explode(F.array(*per_model)).alias("_m")) \
+             .select("row_id", "y", "_m.model", "_m.position", "_m.pred", *keep)
 
 
 PRED_SQL = """pp AS (
@@ -731,12 +731,13 @@ def q_v6(spark, d):
 
 
 def _fold_scores(spark, d) -> DataFrame:
-    pp = pseudo_predictions(spark, d)
-    folds = splitting.stratified_kfold(
-        pp.where(F.col("model") == "model_1").select("row_id", "y"), "y", "row_id", 5)
-    j = pp.join(folds.select("row_id", "fold"), "row_id")
-    return j.groupBy("model", "fold").agg(F.avg((F.col("y") == F.col("pred")).cast("double"))
-                                          .alias("score"))
+    """Per (model, fold) accuracy. Folds depend only on the row, so they are
+    assigned once on lineitem and carried into every model's rows (no join)."""
+    li = table(spark, d, "lineitem").withColumn("row_id", li_row_id())
+    folded = splitting.stratified_kfold(li, "l_linenumber", "row_id", 5)
+    pp = pseudo_predictions(spark, d, folded, keep=("fold",))
+    return pp.groupBy("model", "fold").agg(F.avg((F.col("y") == F.col("pred")).cast("double"))
+                                           .alias("score"))
 
 
 @register("v7_cv_summary", "WITH " + PRED_SQL + ", " + x2_sql(
