@@ -612,7 +612,7 @@ def q_m8l(spark, d):
     # dyadic probabilities: sums are exact in any order, so ties are real ties
     long = long.withColumn("p", F.when(F.col("class") == F.col("pred"), F.lit(0.625))
                            .otherwise(F.lit(0.0625)))
-    v = voting.soft_vote_long(long, "row_id", "class", "p")
+    v = voting.soft_vote_long(long, "row_id", "class", "p", classes=list(range(1, 8)))
     return v.select("row_id", F.col("prediction").cast("int").alias("prediction"),
                     rnd("confidence").alias("confidence"))
 

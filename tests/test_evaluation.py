@@ -44,6 +44,16 @@ def test_soft_vote_long_ties_to_lowest_class(spark):
     assert voting.soft_vote_long(tie, "id", "class", "p").first().prediction == 0
 
 
+def test_soft_vote_long_wide_equals_two_step(spark):
+    rows = [(i, m, c, ((i * 7 + m * 3 + c) % 5) / 8.0) for i in range(40) for m in range(3)
+            for c in range(4) if not (i % 9 == 0 and c == 2)]      # some (id, class) pairs absent
+    probs = spark.createDataFrame(rows, "id int, model int, class int, p double")
+    wide = voting.soft_vote_long(probs, "id", "class", "p")
+    two = voting._soft_vote_two_step(probs, "id", "class", "p")
+    assert sorted(wide.collect()) == sorted(two.collect())
+    assert voting.soft_vote_long(probs, "id", "class", "p", classes=[0, 1, 2, 3]).count() == 40
+
+
 def test_soft_vote_arrays_row_local(spark):
     df = spark.createDataFrame([([0.2, 0.8], [0.6, 0.4], [0.5, 0.5])], "a array<double>, b array<double>, c array<double>")
     r = voting.soft_vote_arrays(df, ["a", "b", "c"]).first()
