@@ -15,6 +15,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 2_000_000
+RANK_ROWS_PER_BUCKET = 1_000_000     # target rows per (class, sub-bucket) window task
+MAX_DIGITS = 8                       # 16**8 sub-buckets; 8 hex digits fit a long
+
+
+def sub_bucket_digits(max_class_rows: int, target: int = RANK_ROWS_PER_BUCKET,
+                      min_digits: int = 1) -> int:
+    """Hex digits of the order key that split the largest class into
+    sub-buckets of about ``target`` rows (md5 is uniform)."""
+    d = min_digits
+    while d < MAX_DIGITS and max_class_rows > target * 16 ** d:
+        d += 1
+    return d
+
+
+def sub_bucket(key: Column, digits: int) -> Column:
+    return F.conv(F.substring(key, 1, digits), 16, 10).cast("long")
 
 
 def order_key(id_col: str, seed: int) -> Column:
@@ -29,8 +45,7 @@ def stratified_rank(df: DataFrame, label: str, id_col: str, seed: int = 42,
     order (md5(id|seed), id). With ``n_classes`` known the offsets table is
     bounded by n_classes * 16**digits rows without counting it."""
     key = order_key(id_col, seed)
-    df = df.withColumn("_k", key).withColumn("_sb", F.conv(F.substring("_k", 1, digits), 16, 10)
-                                               .cast("int"))
+    df = df.withColumn("_k", key).withColumn("_sb", sub_bucket(F.col("_k"), digits))
     sizes = df.groupBy(label, "_sb").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(label).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")

@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievekit.operators.ranking import stratified_rank
+from sievekit.operators.ranking import (MAX_DIGITS, RANK_ROWS_PER_BUCKET, order_key, stratified_rank,
+                                        sub_bucket, sub_bucket_digits)
 
 MAX_CLASSES = 100_000
 
@@ -52,24 +53,104 @@ def _label_map(mapping: dict):
     return F.create_map(*[x for k, v in sorted(mapping.items()) for x in (F.lit(k), F.lit(v))])
 
 
+SELECT_SPLIT_MIN_ROWS = 20_000_000   # from here on a split never shuffles the table
+
+
 def stratified_holdout(df: DataFrame, label: str, id_col: str, test_size: float = 0.2,
-                       seed: int = 42, split_col: str = "split") -> DataFrame:
+                       seed: int = 42, split_col: str = "split", method: str = "auto",
+                       target_rows: int = RANK_ROWS_PER_BUCKET) -> DataFrame:
     """Adds ``split`` in {'train','test'} with exact class-proportional sizes.
 
-    Rows of a class are ranked by md5(id|seed); the first t_c ranks go to test."""
+    The test rows of a class are its first t_c rows in the order
+    (md5(id|seed), id). Two plans give the same rows:
+
+    * ``rank``: every row is ranked inside (class, md5 sub-bucket) windows
+      (one shuffle of the table). Cheapest while the table is small.
+    * ``select``: the boundary of each class is found from sub-bucket counts
+      and only the boundary sub-buckets are ranked; the table is scanned,
+      never shuffled (see ``_holdout_by_selection``).
+
+    ``auto`` picks ``select`` from ``SELECT_SPLIT_MIN_ROWS`` rows on; the row
+    count comes from the class-count pass, which reads the label column only.
+    Rows with a null label go to train."""
     counts = class_counts(df, label)
     alloc = allocate_test(counts, test_size)
-    ranked = stratified_rank(df, label, id_col, seed, n_classes=len(counts))
+    if method not in ("auto", "rank", "select"):
+        raise ValueError("method must be 'auto', 'rank' or 'select'")
+    if method == "select" or (method == "auto" and sum(counts.values()) >= SELECT_SPLIT_MIN_ROWS):
+        return _holdout_by_selection(df, label, id_col, seed, alloc, split_col, target_rows)
+    digits = sub_bucket_digits(max(counts.values()), min_digits=3)
+    ranked = stratified_rank(df, label, id_col, seed, digits=digits, n_classes=len(counts))
     t = F.element_at(_label_map(alloc), F.col(label))
     return ranked.withColumn(split_col, F.when(F.col("_rank") < t, F.lit("test"))
                              .otherwise(F.lit("train"))).drop("_rank")
 
 
+START_DIGITS = 2          # 256 sub-buckets per class in the first count
+
+
+def _boundaries(sizes: DataFrame, label: str, want: dict) -> list:
+    """Per class with want_c > 0: the sub-bucket holding its want_c-th row in
+    key order, how many rows of it are still wanted, and its size. One window
+    over the small (class, sub-bucket, n) table; at most K rows come back."""
+    upto = Window.partitionBy(label).orderBy("_sb").rowsBetween(Window.unboundedPreceding, 0)
+    t = F.try_element_at(_label_map(want), F.col(label))
+    before = F.col("_cum") - F.col("_n")
+    return (sizes.withColumn("_cum", F.sum("_n").over(upto))
+                 .where((before < t) & (F.col("_cum") >= t))
+                 .select(label, "_sb", (t - before).alias("_r"), "_n").collect())
+
+
+def _holdout_by_selection(df: DataFrame, label: str, id_col: str, seed: int, alloc: dict,
+                          split_col: str, target_rows: int) -> DataFrame:
+    """The first t_c rows per class without sorting the table:
+
+    1. one scan counts rows per (class, first 2 hex digits of the md5 key),
+       map-side combined; a window over that small table gives, per class,
+       the boundary sub-bucket b_c and how many of its rows still go to
+       test (r_c);
+    2. while a boundary sub-bucket holds more than ``target_rows`` rows, only
+       its rows are re-counted on 2 more digits (a filtered scan);
+    3. rows below/above b_c are decided by literals in a narrow projection;
+       only the rows of the K boundary sub-buckets are ranked by a window.
+
+    A class holding a third of the rows costs the same as any other."""
+    keyed = df.withColumn("_k", order_key(id_col, seed))
+    d = START_DIGITS
+    sizes = (keyed.where(F.col(label).isNotNull())
+                  .groupBy(label, sub_bucket(F.col("_k"), d).alias("_sb"))
+                  .agg(F.count(F.lit(1)).alias("_n")))
+    bnd = _boundaries(sizes, label, alloc)
+    while bnd and max(r["_n"] for r in bnd) > target_rows and d + 2 <= MAX_DIGITS:
+        prev = F.try_element_at(_label_map({r[label]: r["_sb"] for r in bnd}), F.col(label))
+        finer = (keyed.where(sub_bucket(F.col("_k"), d) == prev)
+                      .groupBy(label, sub_bucket(F.col("_k"), d + 2).alias("_sb"))
+                      .agg(F.count(F.lit(1)).alias("_n")))
+        d += 2
+        bnd = _boundaries(finer, label, {r[label]: r["_r"] for r in bnd})
+    sb = sub_bucket(F.col("_k"), d)
+    b_sb = F.try_element_at(_label_map({r[label]: r["_sb"] for r in bnd}), F.col(label)) \
+        if bnd else F.lit(None).cast("long")
+    b_r = F.try_element_at(_label_map({r[label]: r["_r"] for r in bnd}), F.col(label)) \
+        if bnd else F.lit(None).cast("long")
+    cols = df.columns
+    in_b = F.coalesce(sb == b_sb, F.lit(False))
+    # classes with t_c = 0 have no boundary: b_sb is null and every row is train
+    outside = keyed.where(~in_b).select(
+        *cols, F.when(sb < b_sb, F.lit("test")).otherwise(F.lit("train")).alias(split_col))
+    w = Window.partitionBy(label).orderBy("_k", id_col)
+    inside = keyed.where(in_b).select(
+        *cols, F.when(F.row_number().over(w) - 1 < b_r, F.lit("test"))
+                .otherwise(F.lit("train")).alias(split_col))
+    return outside.unionByName(inside)
+
+
 def stratified_kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 42,
                      fold_col: str = "fold") -> DataFrame:
     """``fold`` = (rank within class in md5 order) mod k; usable as CrossValidator.foldCol."""
     counts = class_counts(df, label)
     if all(v < k for v in counts.values()):
         raise ValueError(f"n_splits={k} cannot be greater than the number of members in each class")
-    ranked = stratified_rank(df, label, id_col, seed, n_classes=len(counts))
+    digits = sub_bucket_digits(max(counts.values()), min_digits=3)
+    ranked = stratified_rank(df, label, id_col, seed, digits=digits, n_classes=len(counts))
     return ranked.withColumn(fold_col, F.pmod(F.col("_rank"), F.lit(k)).cast("int")).drop("_rank")

@@ -577,6 +577,15 @@ def q_x1e(spark, d):
     return splitting.stratified_holdout(ev, "event_type", "event_id")
 
 
+@register("x1_holdout_events_select", "WITH " + x1_sql(
+    "SELECT event_id, event_type FROM events", "event_id", "event_type")
+    + "\nSELECT event_id, event_type, split FROM sp")
+def q_x1es(spark, d):
+    """X1 with the selection plan (boundary sub-buckets only; the table is not shuffled)."""
+    ev = table(spark, d, "events").select("event_id", "event_type")
+    return splitting.stratified_holdout(ev, "event_type", "event_id", method="select")
+
+
 @register("x2_stratified_kfold", "WITH " + x2_sql(
     "SELECT event_id, event_type FROM events", "event_id", "event_type")
     + "\nSELECT event_id, event_type, fold FROM fo")

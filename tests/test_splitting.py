@@ -42,3 +42,23 @@ def test_holdout_repeatable_and_seeded(spark):
     b = {r.id for r in splitting.stratified_holdout(df, "y", "id", seed=42).where("split='test'").collect()}
     c = {r.id for r in splitting.stratified_holdout(df, "y", "id", seed=7).where("split='test'").collect()}
     assert a == b and a != c and len(a) == 100
+
+
+@pytest.mark.parametrize("target", [10**6, 50, 3])
+def test_holdout_selection_equals_rank_order(spark, target):
+    """The test rows are exactly the first t_c rows of each class in md5 order,
+    with and without refinement of the boundary sub-buckets; null labels go to train."""
+    from sievekit.operators.ranking import stratified_rank
+    df = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, F.lit(0))
+                                  .when(F.col("id") % 97 == 0, F.lit(None))
+                                  .otherwise(F.col("id") % 5 + 1).alias("y"))
+    sp = splitting.stratified_holdout(df, "y", "id", method="select", target_rows=target)
+    alloc = splitting.allocate_test(splitting.class_counts(df, "y"), 0.2)
+    rk = stratified_rank(df.where("y IS NOT NULL"), "y", "id")
+    want = {r.id for r in rk.collect() if r._rank < alloc[r.y]}
+    got = {r.id for r in sp.where("split = 'test'").collect()}
+    assert got == want
+    assert sp.count() == 4000
+    assert sp.where("y IS NULL AND split = 'train'").count() == df.where("y IS NULL").count()
+    rank = splitting.stratified_holdout(df, "y", "id", method="rank")
+    assert {r.id for r in rank.where("split = 'test'").collect()} == want
