@@ -1,7 +1,9 @@
 """Evaluation tables.
 
-All metrics start from one ``groupBy(label, prediction).count()`` (at most
-K^2 rows after map-side combine); everything after that is a small table.
+Metrics start from one small aggregate of the scored rows: pair counts
+``groupBy(label, prediction)`` (<= K^2 rows) for the confusion matrix, and
+``class_stats`` (<= K rows: tp, support, predicted) for the report and the
+per-model scores. Both are map-side combined; everything after is a small table.
 """
 
 from __future__ import annotations
@@ -32,6 +34,22 @@ def _classes(pc: DataFrame) -> DataFrame:
     return pc.select(F.col("y").alias("c")).union(pc.select(F.col("p").alias("c"))).distinct()
 
 
+def class_stats(df: DataFrame, label: str, pred: str, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys..., c, tp, support, npred) for every class seen as label or prediction.
+
+    One aggregate straight from the scored rows: each row adds (c=label:
+    support 1, tp 1 if correct) and (c=prediction: npred 1); map-side combine
+    leaves at most K rows per task and key. Every later table is derived from
+    this one, so the scan happens once."""
+    y, p = F.col(label), F.col(pred)
+    parts = F.array(
+        F.struct(y.alias("c"), F.lit(1).alias("s"), (y == p).cast("int").alias("t"), F.lit(0).alias("q")),
+        F.struct(p.alias("c"), F.lit(0).alias("s"), F.lit(0).alias("t"), F.lit(1).alias("q")))
+    return (df.where(y.isNotNull() & p.isNotNull()).select(*keys, F.inline(parts))
+              .groupBy(*keys, "c").agg(F.sum("t").alias("tp"), F.sum("s").alias("support"),
+                                       F.sum("q").alias("npred")))
+
+
 def confusion_long(df: DataFrame, label: str, pred: str) -> DataFrame:
     """V2 (long): (true_label, pred_label, n) over the sorted union of classes, zero cells included.
 
@@ -71,12 +89,7 @@ def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
 def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """V3: (class, precision, recall, f1_score, support) per class, then
     'accuracy', 'macro avg', 'weighted avg'. 0/0 -> 0."""
-    pc = pair_counts(df, label, pred)
-    tp = pc.where(F.col("y") == F.col("p")).select(F.col("y").alias("c"), F.col("n").alias("tp"))
-    sup = pc.groupBy(F.col("y").alias("c")).agg(F.sum("n").alias("support"))
-    prd = pc.groupBy(F.col("p").alias("c")).agg(F.sum("n").alias("npred"))
-    per = (_classes(pc).join(tp, "c", "left").join(sup, "c", "left").join(prd, "c", "left")
-           .na.fill(0, ["tp", "support", "npred"]))
+    per = class_stats(df, label, pred)
     prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
     per = per.withColumns({"precision": prec, "recall": rec})
@@ -91,16 +104,16 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
                   (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
                   (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
                   (F.sum(F.col("f1_score") * F.col("support")) / F.sum("support")).alias("wf"))
-    acc = tot.select(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
-                     F.lit(None).cast("double").alias("recall"),
-                     (F.col("tp") / F.col("n")).alias("f1_score"), F.col("n").cast("bigint").alias("support"))
-    macro = tot.select(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"),
-                       F.col("mr").alias("recall"), F.col("mf").alias("f1_score"),
-                       F.col("n").cast("bigint").alias("support"))
-    weighted = tot.select(F.lit("weighted avg").alias("class"), F.col("wp").alias("precision"),
-                          F.col("wr").alias("recall"), F.col("wf").alias("f1_score"),
-                          F.col("n").cast("bigint").alias("support"))
-    return classes.unionByName(acc).unionByName(macro).unionByName(weighted)
+    def row(name, prec, rec, f1):
+        return F.struct(F.lit(name).alias("class"), prec.cast("double").alias("precision"),
+                        rec.cast("double").alias("recall"), f1.cast("double").alias("f1_score"),
+                        F.col("n").cast("bigint").alias("support"))
+    # the three summary rows come from the one totals row (no branch per row)
+    summary = tot.select(F.inline(F.array(
+        row("accuracy", F.lit(None), F.lit(None), F.col("tp") / F.col("n")),
+        row("macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
+        row("weighted avg", F.col("wp"), F.col("wr"), F.col("wf")))))
+    return classes.unionByName(summary)
 
 
 def flatten_report(report: DataFrame) -> DataFrame:
@@ -137,17 +150,9 @@ def cv_summary(scores: DataFrame, model: str = "model", score: str = "score") ->
 def per_model_scores(long: DataFrame, model: str = "model", label: str = "y",
                      pred: str = "p") -> DataFrame:
     """(model, accuracy, f1_score) for many models at once, from one
-    ``groupBy(model, label, pred).count()`` (<= M x K^2 rows): one pass over the
-    scored rows instead of one report per model."""
-    pc = (long.where(F.col(label).isNotNull() & F.col(pred).isNotNull())
-              .groupBy(model, F.col(label).alias("y"), F.col(pred).alias("p"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    tp = pc.where(F.col("y") == F.col("p")).groupBy(model, F.col("y").alias("c")).agg(F.sum("n").alias("tp"))
-    sup = pc.groupBy(model, F.col("y").alias("c")).agg(F.sum("n").alias("support"))
-    prd = pc.groupBy(model, F.col("p").alias("c")).agg(F.sum("n").alias("npred"))
-    cls = pc.select(model, F.col("y").alias("c")).union(pc.select(model, F.col("p").alias("c"))).distinct()
-    per = (cls.join(tp, [model, "c"], "left").join(sup, [model, "c"], "left")
-              .join(prd, [model, "c"], "left").na.fill(0, ["tp", "support", "npred"]))
+    per-(model, class) aggregate (<= M x K rows): one pass over the scored rows
+    instead of one report per model."""
+    per = class_stats(long, label, pred, [model])
     pr = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred")), F.lit(0.0))
     rc = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
     per = per.withColumns({"_p": pr, "_r": rc})
@@ -178,8 +183,8 @@ def improvement_pct(acc: Column | str, baseline: float = BASELINE_ACCURACY) -> C
 
 def speedup(times: DataFrame, seconds: str = "seconds") -> DataFrame:
     """Slowest time / each time."""
-    w = Window.partitionBy()
-    return times.withColumn("speedup", F.max(seconds).over(w) / F.col(seconds))
+    slowest = times.agg(F.max(seconds)).first()[0]      # one scalar
+    return times.withColumn("speedup", F.lit(slowest) / F.col(seconds))
 
 
 def metric_row(name: str, df: DataFrame, metric_cols: Sequence[str]) -> dict:
