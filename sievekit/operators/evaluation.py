@@ -50,18 +50,34 @@ def class_stats(df: DataFrame, label: str, pred: str, keys: Sequence[str] = ())
                                        F.sum("q").alias("npred")))
 
 
+def class_list(df: DataFrame, label: str, pred: str, bound: int = MAX_CLASSES) -> list:
+    """Sorted union of label and prediction values, checked against ``bound``
+    before it reaches the driver."""
+    classes = sorted(r["c"] for r in _classes(pair_counts(df, label, pred)).limit(bound + 1).collect())
+    if len(classes) > bound:
+        raise ValueError("too many classes for a confusion matrix")
+    return classes
+
+
+def _confusion_pivot(df: DataFrame, label: str, pred: str, classes: Sequence) -> DataFrame:
+    """(y, one count column per class) in one aggregate. Each row also adds a
+    zero entry under its predicted class as a true label, so a class that is
+    only ever predicted still gets its row (no join back to the class list)."""
+    y, p = F.col(label), F.col(pred)
+    parts = F.array(F.struct(y.alias("y"), p.alias("p"), F.lit(1).alias("n")),
+                    F.struct(p.alias("y"), F.lit(None).cast(df.schema[pred].dataType).alias("p"),
+                             F.lit(0).alias("n")))
+    return (df.where(y.isNotNull() & p.isNotNull()).select(F.inline(parts))
+              .groupBy("y").pivot("p", list(classes)).agg(F.sum("n")))
+
+
 def confusion_long(df: DataFrame, label: str, pred: str) -> DataFrame:
     """V2 (long): (true_label, pred_label, n) over the sorted union of classes, zero cells included.
 
-    Zero cells come from pivoting the small pair table on the (checked) class
-    list, not from a cross join."""
-    pc = pair_counts(df, label, pred)
-    classes = sorted(r["c"] for r in _classes(pc).limit(MAX_CLASSES + 1).collect())
-    if len(classes) > MAX_CLASSES:
-        raise ValueError("too many classes for a confusion matrix")
-    wide = pc.groupBy("y").pivot("p", classes).agg(F.sum("n"))
-    cls = _classes(pc).withColumnRenamed("c", "y")
-    wide = cls.join(wide, "y", "left")
+    Zero cells come from pivoting on the (checked) class list, not from a
+    cross join."""
+    classes = class_list(df, label, pred)
+    wide = _confusion_pivot(df, label, pred, classes)
     stack = ", ".join(f"{_lit_sql(c)}, coalesce(`{c}`, 0)" for c in classes)
     return wide.selectExpr("y as true_label",
                            f"stack({len(classes)}, {stack}) as (pred_label, n)") \
@@ -74,16 +90,13 @@ def _lit_sql(v) -> str:
 
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
     """V2/S7 (wide): rows ``true_i``, columns ``pred_i`` by position in the sorted classes."""
-    long = confusion_long(df, label, pred)
-    idx = Window.orderBy("c")
-    pos = _classes(pair_counts(df, label, pred)).withColumn("i", F.row_number().over(idx) - 1)
-    k = pos.count()          # bounded: checked in confusion_long
-    pos = F.broadcast(pos)
-    j = (long.join(pos.withColumnRenamed("c", "true_label").withColumnRenamed("i", "ti"), "true_label")
-             .join(pos.withColumnRenamed("c", "pred_label").withColumnRenamed("i", "pi"), "pred_label"))
-    wide = j.groupBy("ti").pivot("pi", list(range(k))).agg(F.first("n"))
-    return wide.select(F.concat(F.lit("true_"), F.col("ti")).alias("label"),
-                       *[F.col(str(i)).alias(f"pred_{i}") for i in range(k)]).orderBy("label")
+    classes = class_list(df, label, pred)
+    wide = _confusion_pivot(df, label, pred, classes)
+    pos = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(i))])
+    return wide.select(
+        F.concat(F.lit("true_"), F.element_at(pos, F.col("y")).cast("string")).alias("label"),
+        *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias(f"pred_{i}")
+          for i, c in enumerate(classes)]).orderBy("label")
 
 
 def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:

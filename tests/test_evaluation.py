@@ -20,6 +20,16 @@ def test_confusion_has_zero_cells(spark):
     assert tuple(wide[0])[1:] == (0, 1, 0)
 
 
+def test_confusion_class_only_predicted(spark):
+    """Class 3 is never a true label, class 0 never predicted: both get a full row/column."""
+    df = spark.createDataFrame([(0, 1), (1, 3), (2, 2), (2, 3)], "y int, p int")
+    long = {(r.true_label, r.pred_label): r.n for r in evaluation.confusion_long(df, "y", "p").collect()}
+    assert len(long) == 16 and long[(3, 3)] == 0 and long[(2, 3)] == 1 and sum(long.values()) == 4
+    wide = {r.label: tuple(r)[1:] for r in evaluation.confusion_matrix(df, "y", "p").collect()}
+    assert wide == {"true_0": (0, 1, 0, 0), "true_1": (0, 0, 0, 1), "true_2": (0, 0, 1, 1),
+                    "true_3": (0, 0, 0, 0)}
+
+
 def test_leaderboard_first_position_wins_ties(spark):
     res = spark.createDataFrame([("a", 1, 0.5), ("b", 2, 0.7), ("c", 3, 0.7)], "model string, position int, f1_score double")
     assert evaluation.best_model(res).first().model == "b"
