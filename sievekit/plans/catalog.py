@@ -498,6 +498,24 @@ def q_f9(spark, d):
     return lm.encode(li)
 
 
+@register("f11_quality_tier", """SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_linenumber >= 7 THEN 'excellent' WHEN l_linenumber >= 5 THEN 'good'
+       ELSE 'needs improvement' END AS tier FROM lineitem""")
+def q_f11(spark, d):
+    """F11 on an integer prediction column (l_linenumber 1..7)."""
+    li = table(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", fx.quality_tier("l_linenumber").alias("tier"))
+
+
+@register("f12_confidence_pct", "WITH " + PROBS_SQL + """
+SELECT vec_id, round(max(p) * 100, 1) AS confidence_pct FROM probs WHERE m = 0 GROUP BY vec_id""")
+def q_f12(spark, d):
+    """F12 on the max class probability of a given probability table (embedding softmax)."""
+    emb = table(spark, d, "embeddings")
+    return emb.select("vec_id", fx.confidence_pct(F.array_max(softmax_slice(F.col("embedding"), 0)))
+                      .alias("confidence_pct"))
+
+
 @register("f10_assemble")
 def q_f10(spark, d):
     from pyspark.ml.functions import vector_to_array
