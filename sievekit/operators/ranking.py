@@ -49,9 +49,12 @@ def stratified_rank(df: DataFrame, label: str, id_col: str, seed: int = 42,
     sizes = df.groupBy(label, "_sb").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(label).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    bound = n_classes * 16 ** digits if n_classes is not None else None
-    n_groups = bound if bound is not None and bound <= MAX_BROADCAST_ROWS else sizes.count()
-    if n_groups <= MAX_BROADCAST_ROWS:
+    # Broadcast only under a proven bound. With n_classes known, a bound above
+    # the limit means a large offsets table: it is joined on the window's own
+    # (label, sub-bucket) partitioning (the table is not shuffled again) and
+    # AQE may still broadcast it at run time; no counting pass is spent on it.
+    bound = n_classes * 16 ** digits if n_classes is not None else sizes.count()
+    if bound <= MAX_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     w = Window.partitionBy(label, "_sb").orderBy("_k", id_col)
     ranked = df.withColumn("_rn", F.row_number().over(w) - 1)
