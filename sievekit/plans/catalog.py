@@ -4,7 +4,7 @@ Every query reads the given tables (whole tables, whole texts) and returns a
 DataFrame whose column names equal the oracle's. Computed doubles are rounded
 to 6 decimals on both sides (summation order differs between engines).
 
-The reference's data (11 wine features + quality) is not available, so the
+The reference's data (11 numeric features + an integer quality label) is not available, so the
 column-parametric operators run on the driver tables:
 events (value, user_id; label event_type), documents (n_chars, word count),
 labels (quality), lineitem (quantity, price, discount, tax; label
