@@ -62,3 +62,15 @@ def test_holdout_selection_equals_rank_order(spark, target):
     assert sp.where("y IS NULL AND split = 'train'").count() == df.where("y IS NULL").count()
     rank = splitting.stratified_holdout(df, "y", "id", method="rank")
     assert {r.id for r in rank.where("split = 'test'").collect()} == want
+
+
+def test_holdout_select_string_labels_and_zero_allocation(spark):
+    """A class whose test share rounds to 0 has no boundary: all its rows train."""
+    df = spark.range(1002).select("id", F.when(F.col("id") < 1000, F.lit("big"))
+                                  .otherwise(F.lit("tiny")).alias("y"))
+    alloc = splitting.allocate_test(splitting.class_counts(df, "y"), 0.2)
+    assert alloc == {"big": 201, "tiny": 0}
+    for method in ("select", "rank"):
+        sp = splitting.stratified_holdout(df, "y", "id", method=method, target_rows=20)
+        got = {r.y: r.n for r in sp.where("split = 'test'").groupBy("y").agg(F.count("*").alias("n")).collect()}
+        assert got == {"big": 201} and sp.count() == 1002
