@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievekit.operators.quantiles import clean_double, quantiles
@@ -26,10 +26,11 @@ def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     stack = ", ".join(f"'{f}', {i}, n{i}, m{i}, v{i}" for i, f in enumerate(feats))
     long = per_class.selectExpr(
         f"stack({len(feats)}, {stack}) as (feature, position, n_c, m_c, v_c)").where("n_c > 0")
-    tot = long.groupBy("feature", "position").agg(
-        F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k"),
-        (F.sum(F.col("n_c") * F.col("m_c")) / F.sum("n_c")).alias("m"))
-    j = long.join(tot, ["feature", "position"])
+    # totals per feature over its K class rows: a window on the small table,
+    # so the scan feeds one plan path (no self-join re-reading the input)
+    w = Window.partitionBy("feature", "position")
+    j = long.withColumns({"n": F.sum("n_c").over(w), "k": F.count(F.lit(1)).over(w),
+                          "m": F.sum(F.col("n_c") * F.col("m_c")).over(w) / F.sum("n_c").over(w)})
     res = j.groupBy("feature", "position", "n", "k").agg(
         F.sum(F.col("n_c") * (F.col("m_c") - F.col("m")) * (F.col("m_c") - F.col("m"))).alias("ssb"),
         F.sum(F.col("n_c") * F.col("v_c")).alias("ssw"))
