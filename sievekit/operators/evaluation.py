@@ -161,17 +161,18 @@ def cv_summary(scores: DataFrame, model: str = "model", score: str = "score") ->
 
 
 def per_model_scores(long: DataFrame, model: str = "model", label: str = "y",
-                     pred: str = "p") -> DataFrame:
+                     pred: str = "p", keys: Sequence[str] = ()) -> DataFrame:
     """(model, accuracy, f1_score) for many models at once, from one
     per-(model, class) aggregate (<= M x K rows): one pass over the scored rows
-    instead of one report per model."""
-    per = class_stats(long, label, pred, [model])
+    instead of one report per model. ``keys``: further per-model columns
+    (e.g. position) carried through the grouping instead of joined back."""
+    per = class_stats(long, label, pred, [model, *keys])
     pr = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred")), F.lit(0.0))
     rc = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
     per = per.withColumns({"_p": pr, "_r": rc})
     per = per.withColumn("_f", F.coalesce(F.try_divide(2 * F.col("_p") * F.col("_r"),
                                                        F.col("_p") + F.col("_r")), F.lit(0.0)))
-    return per.groupBy(model).agg(
+    return per.groupBy(model, *keys).agg(
         (F.sum("tp") / F.sum("support")).alias("accuracy"),
         (F.sum(F.col("_f") * F.col("support")) / F.sum("support")).alias("f1_score"))
 

@@ -781,9 +781,8 @@ def q_v7(spark, d):
 def _model_results(spark, d) -> DataFrame:
     """Per pseudo model: accuracy and weighted F1 from one pair-count pass."""
     pp = pseudo_predictions(spark, d)
-    scores = evaluation.per_model_scores(pp, "model", "y", "pred")
-    pos = pp.select("model", "position").distinct()
-    return scores.join(pos, "model").select("model", "position", "accuracy", "f1_score")
+    scores = evaluation.per_model_scores(pp, "model", "y", "pred", keys=["position"])
+    return scores.select("model", "position", "accuracy", "f1_score")
 
 
 _RESULTS_SQL = "WITH " + PRED_SQL + """,

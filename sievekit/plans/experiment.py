@@ -124,7 +124,6 @@ def run_experiment(spark: SparkSession, df: DataFrame, features: Sequence[str],
     long = scored.select(F.col("label_idx").cast("int").alias("y"), F.explode(F.array(*[
         F.struct(F.lit(n).alias("model"), F.lit(i).alias("position"), F.col(c).cast("int").alias("p"))
         for i, (n, c) in enumerate(names, start=1)])).alias("m")).select("y", "m.*")
-    results = evaluation.per_model_scores(long, "model", "y", "p").join(
-        long.select("model", "position").distinct(), "model")
+    results = evaluation.per_model_scores(long, "model", "y", "p", keys=["position"])
     board = evaluation.leaderboard(results, "f1_score", "position")
     return board.withColumn("improvement_pct", evaluation.improvement_pct("accuracy"))
