@@ -83,3 +83,15 @@ def test_robust_scaler_zero_iqr(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, 5.0), (10.0, 5.0)], "a double, b double")
     m = selection.fit_robust_scaler(df, ["a", "b"])
     assert m.stats == {"a": (2.5, 3.0), "b": (5.0, 1.0)}
+
+
+def test_confusion_and_report_string_classes(spark):
+    df = spark.createDataFrame([("low", "low"), ("high x", "low"), ("high x", "high x"), ("mid", "high x")],
+                               "y string, p string")
+    long = {(r.true_label, r.pred_label): r.n for r in evaluation.confusion_long(df, "y", "p").collect()}
+    assert len(long) == 9 and long[("high x", "low")] == 1 and long[("mid", "mid")] == 0
+    wide = {r.label: tuple(r)[1:] for r in evaluation.confusion_matrix(df, "y", "p").collect()}
+    # sorted classes: 'high x' (0), 'low' (1), 'mid' (2)
+    assert wide == {"true_0": (1, 1, 0), "true_1": (0, 1, 0), "true_2": (1, 0, 0)}
+    rep = {r["class"]: r for r in evaluation.classification_report(df, "y", "p").collect()}
+    assert rep["mid"].support == 1 and rep["mid"].precision == 0.0 and rep["accuracy"].f1_score == 0.5
