@@ -72,7 +72,9 @@ def stratified_holdout(df: DataFrame, label: str, id_col: str, test_size: float
 
     ``auto`` picks ``select`` from ``SELECT_SPLIT_MIN_ROWS`` rows on; the row
     count comes from the class-count pass, which reads the label column only.
-    Rows with a null label go to train."""
+    Rows with a null label go to train. ``id_col`` must identify rows uniquely
+    (it is the order key: a repeated id lands in one sub-bucket, and its rows
+    would tie)."""
     counts = class_counts(df, label)
     alloc = allocate_test(counts, test_size)
     if method not in ("auto", "rank", "select"):
