@@ -25,9 +25,11 @@ def soft_vote_arrays(df: DataFrame, prob_cols: Sequence[str], out: str = "probs"
 MAX_WIDE_CLASSES = 1024
 
 
-def class_list(probs: DataFrame, class_col: str, bound: int = MAX_WIDE_CLASSES) -> list | None:
+def class_list(probs: DataFrame, class_col: str, bound: int | None = None) -> list | None:
     """Sorted distinct classes, or None when there are more than ``bound``
-    (checked with a limit before anything reaches the driver)."""
+    (default ``MAX_WIDE_CLASSES``; checked with a limit before anything
+    reaches the driver)."""
+    bound = MAX_WIDE_CLASSES if bound is None else bound
     rows = (probs.where(F.col(class_col).isNotNull()).select(class_col).distinct()
                  .limit(bound + 1).collect())
     return None if len(rows) > bound else sorted(r[0] for r in rows)

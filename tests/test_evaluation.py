@@ -95,3 +95,12 @@ def test_confusion_and_report_string_classes(spark):
     assert wide == {"true_0": (1, 1, 0), "true_1": (0, 1, 0), "true_2": (1, 0, 0)}
     rep = {r["class"]: r for r in evaluation.classification_report(df, "y", "p").collect()}
     assert rep["mid"].support == 1 and rep["mid"].precision == 0.0 and rep["accuracy"].f1_score == 0.5
+
+
+def test_soft_vote_long_falls_back_beyond_class_bound(spark, monkeypatch):
+    rows = [(i, m, c, ((i + 2 * m + 3 * c) % 4) / 4.0) for i in range(30) for m in range(2) for c in range(6)]
+    probs = spark.createDataFrame(rows, "id int, model int, class int, p double")
+    wide = sorted(voting.soft_vote_long(probs, "id", "class", "p").collect())
+    monkeypatch.setattr(voting, "MAX_WIDE_CLASSES", 3)
+    assert voting.class_list(probs, "class") is None
+    assert sorted(voting.soft_vote_long(probs, "id", "class", "p").collect()) == wide
