@@ -30,10 +30,6 @@ def accuracy(df: DataFrame, label: str, pred: str) -> DataFrame:
     return df.agg(F.avg((F.col(label) == F.col(pred)).cast("double")).alias("accuracy"))
 
 
-def _classes(pc: DataFrame) -> DataFrame:
-    return pc.select(F.col("y").alias("c")).union(pc.select(F.col("p").alias("c"))).distinct()
-
-
 def class_stats(df: DataFrame, label: str, pred: str, keys: Sequence[str] = ()) -> DataFrame:
     """(keys..., c, tp, support, npred) for every class seen as label or prediction.
 
@@ -53,7 +49,10 @@ def class_stats(df: DataFrame, label: str, pred: str, keys: Sequence[str] = ())
 def class_list(df: DataFrame, label: str, pred: str, bound: int = MAX_CLASSES) -> list:
     """Sorted union of label and prediction values, checked against ``bound``
     before it reaches the driver."""
-    classes = sorted(r["c"] for r in _classes(pair_counts(df, label, pred)).limit(bound + 1).collect())
+    y, p = F.col(label), F.col(pred)
+    distinct = (df.where(y.isNotNull() & p.isNotNull())
+                  .select(F.explode(F.array(y, p)).alias("c")).distinct())      # one scan
+    classes = sorted(r["c"] for r in distinct.limit(bound + 1).collect())
     if len(classes) > bound:
         raise ValueError("too many classes for a confusion matrix")
     return classes
