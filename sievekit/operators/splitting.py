@@ -7,6 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sievekit.operators.ranking import (MAX_DIGITS, RANK_ROWS_PER_BUCKET, order_key, stratified_rank,
                                         sub_bucket, sub_bucket_digits)
@@ -53,6 +54,28 @@ def _label_map(mapping: dict):
     return F.create_map(*[x for k, v in sorted(mapping.items()) for x in (F.lit(k), F.lit(v))])
 
 
+MAP_LITERAL_MAX = 256   # per-class values beyond this many classes are joined, not looked up
+
+
+def _with_class_values(df: DataFrame, label: str, values: dict) -> DataFrame:
+    """Adds one long column per entry of ``values`` ({column: {class: value}});
+    null where the class has no value (and for a null label).
+
+    A few classes: a literal map lookup in the projection. Many classes: a
+    literal map is searched key by key on every row, so the (class, values)
+    table - at most MAX_CLASSES rows, checked by class_counts - is
+    broadcast-joined instead (no shuffle of ``df``)."""
+    keys = set().union(*[m.keys() for m in values.values()])
+    if len(keys) <= MAP_LITERAL_MAX:
+        return df.withColumns({c: (F.try_element_at(_label_map(m), F.col(label)) if m
+                                   else F.lit(None)).cast("long") for c, m in values.items()})
+    schema = StructType([StructField(label, df.schema[label].dataType)]
+                        + [StructField(c, LongType()) for c in values])
+    rows = [(k, *[values[c].get(k) for c in values]) for k in sorted(keys)]
+    small = df.sparkSession.createDataFrame(rows, schema)
+    return df.join(F.broadcast(small), label, "left")
+
+
 SELECT_SPLIT_MIN_ROWS = 20_000_000   # from here on a split never shuffles the table
 
 
@@ -83,9 +106,9 @@ def stratified_holdout(df: DataFrame, label: str, id_col: str, test_size: float
         return _holdout_by_selection(df, label, id_col, seed, alloc, split_col, target_rows)
     digits = sub_bucket_digits(max(counts.values()), min_digits=3)
     ranked = stratified_rank(df, label, id_col, seed, digits=digits, n_classes=len(counts))
-    t = F.element_at(_label_map(alloc), F.col(label))
-    return ranked.withColumn(split_col, F.when(F.col("_rank") < t, F.lit("test"))
-                             .otherwise(F.lit("train"))).drop("_rank")
+    ranked = _with_class_values(ranked, label, {"_t": alloc})
+    return ranked.select(*df.columns, F.when(F.col("_rank") < F.col("_t"), F.lit("test"))
+                         .otherwise(F.lit("train")).alias(split_col))
 
 
 START_DIGITS = 2          # 256 sub-buckets per class in the first count
@@ -96,9 +119,9 @@ def _boundaries(sizes: DataFrame, label: str, want: dict) -> list:
     key order, how many rows of it are still wanted, and its size. One window
     over the small (class, sub-bucket, n) table; at most K rows come back."""
     upto = Window.partitionBy(label).orderBy("_sb").rowsBetween(Window.unboundedPreceding, 0)
-    t = F.try_element_at(_label_map(want), F.col(label))
+    t = F.col("_t")
     before = F.col("_cum") - F.col("_n")
-    return (sizes.withColumn("_cum", F.sum("_n").over(upto))
+    return (_with_class_values(sizes, label, {"_t": want}).withColumn("_cum", F.sum("_n").over(upto))
                  .where((before < t) & (F.col("_cum") >= t))
                  .select(label, "_sb", (t - before).alias("_r"), "_n").collect())
 
@@ -124,17 +147,16 @@ def _holdout_by_selection(df: DataFrame, label: str, id_col: str, seed: int, all
                   .agg(F.count(F.lit(1)).alias("_n")))
     bnd = _boundaries(sizes, label, alloc)
     while bnd and max(r["_n"] for r in bnd) > target_rows and d + 2 <= MAX_DIGITS:
-        prev = F.try_element_at(_label_map({r[label]: r["_sb"] for r in bnd}), F.col(label))
-        finer = (keyed.where(sub_bucket(F.col("_k"), d) == prev)
-                      .groupBy(label, sub_bucket(F.col("_k"), d + 2).alias("_sb"))
+        prev = _with_class_values(keyed, label, {"_prev": {r[label]: r["_sb"] for r in bnd}})
+        finer = (prev.where(sub_bucket(F.col("_k"), d) == F.col("_prev"))
+                     .groupBy(label, sub_bucket(F.col("_k"), d + 2).alias("_sb"))
                       .agg(F.count(F.lit(1)).alias("_n")))
         d += 2
         bnd = _boundaries(finer, label, {r[label]: r["_r"] for r in bnd})
     sb = sub_bucket(F.col("_k"), d)
-    b_sb = F.try_element_at(_label_map({r[label]: r["_sb"] for r in bnd}), F.col(label)) \
-        if bnd else F.lit(None).cast("long")
-    b_r = F.try_element_at(_label_map({r[label]: r["_r"] for r in bnd}), F.col(label)) \
-        if bnd else F.lit(None).cast("long")
+    keyed = _with_class_values(keyed, label, {"_bsb": {r[label]: r["_sb"] for r in bnd},
+                                              "_br": {r[label]: r["_r"] for r in bnd}})
+    b_sb, b_r = F.col("_bsb"), F.col("_br")
     cols = df.columns
     in_b = F.coalesce(sb == b_sb, F.lit(False))
     # classes with t_c = 0 have no boundary: b_sb is null and every row is train

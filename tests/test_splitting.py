@@ -74,3 +74,19 @@ def test_holdout_select_string_labels_and_zero_allocation(spark):
         sp = splitting.stratified_holdout(df, "y", "id", method=method, target_rows=20)
         got = {r.y: r.n for r in sp.where("split = 'test'").groupBy("y").agg(F.count("*").alias("n")).collect()}
         assert got == {"big": 201} and sp.count() == 1002
+
+
+def test_holdout_many_classes_join_path_equals_map_path(spark, monkeypatch):
+    """Per-class values joined from a broadcast table (many classes) give the
+    same split as the literal map lookup (few classes); columns keep their order."""
+    df = spark.range(3000).select("id", F.when(F.col("id") % 11 == 0, F.lit(None))
+                                  .otherwise(F.col("id") % 13).alias("y"), (F.col("id") * 2).alias("v"))
+    want = {m: {(r.id, r.split) for r in splitting.stratified_holdout(df, "y", "id", method=m,
+                                                                      target_rows=5).collect()}
+            for m in ("rank", "select")}
+    monkeypatch.setattr(splitting, "MAP_LITERAL_MAX", 1)
+    for m in ("rank", "select"):
+        sp = splitting.stratified_holdout(df, "y", "id", method=m, target_rows=5)
+        assert sp.columns == ["id", "y", "v", "split"]
+        assert {(r.id, r.split) for r in sp.collect()} == want[m]
+    assert want["rank"] == want["select"]
