@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievekit.llm import decontaminate, html_extract, line_dedup, token_counts
+from sievekit.llm import (capture_archive, decontaminate, html_extract, line_dedup, near_dup, packing,
+                          piecewise_hash, sharding, token_counts, toxicity)
 from sievekit.llm.common import read_table, row_hash
 
 QUERIES: dict = {}
@@ -29,6 +30,14 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+@query
+def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = near_dup.near_duplicate_groups(docs, percent=85)
+    return out.select("doc_id", "n_shingles", "component_id",
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @query
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,6 +83,20 @@ FROM d LEFT JOIN hw ON d.doc_id = hw.doc_id LEFT JOIN hi ON d.doc_id = hi.doc_id
 """
 
 
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = sharding.shard(docs, shards=24)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, vocabulary_path("word_bpe_49k.json"), end_id=1)
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,8 +119,31 @@ FROM k LEFT JOIN hot ON k.key = hot.key GROUP BY k.doc_id
 """
 
 
+@query
+def op7_capture_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = capture_archive.archive_round_trip(pages, min_bytes=0)
+    return out.select(F.col("uid").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+                      "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = token_counts.byte_level_vocabulary(vocabulary_path("byte_bpe_50k.json"))
     return token_counts.token_counts(docs, pieces)
+
+
+@query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piecewise_hash.neighbour_likeness(docs)
