@@ -17,6 +17,7 @@ hashed, whatever their length.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,17 +110,11 @@ def likeness(x: str, y: str, common: int = COMMON) -> float:
 
 def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "fingerprint") -> DataFrame:
     """The input rows with the text's fingerprint."""
-    return docs.withColumn(out_col, _fingerprint_udf()(F.coalesce(F.col(text_col), F.lit(""))))
-
-
-def _fingerprint_udf():
-    from pyspark.sql.functions import pandas_udf
-    import pandas as pd
-
-    def run(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("string")
+    def mark(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t.encode()) for t in texts], dtype=object)
 
-    return pandas_udf(run, "string")
+    return docs.withColumn(out_col, mark(F.coalesce(F.col(text_col), F.lit(""))))
 
 
 def edited(text: str, following: str) -> str:
