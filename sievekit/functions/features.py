@@ -115,8 +115,8 @@ def one_hot(df: DataFrame, c: str, levels: Sequence[str], prefix: str | None = N
 
 def assemble_columns(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     """fixed-order feature vector for model input."""
-    from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
+    from sievekit.plans.stages import AssembleColumns
+    return AssembleColumns.of(cols, out).transform(df)
 
 
 def quality_tier(pred) -> Column:

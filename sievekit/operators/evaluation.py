@@ -13,21 +13,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievekit.functions.names import col
+
 # Fixed value: accuracy of the reference's baseline forest, used by V10.
 BASELINE_ACCURACY = 0.6454
-MAX_CLASSES = 10_000
 
 
 def pair_counts(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """(y, p, n) over rows with a non-null label and prediction."""
-    return (df.where(F.col(label).isNotNull() & F.col(pred).isNotNull())
-              .groupBy(F.col(label).alias("y"), F.col(pred).alias("p"))
+    """(y, p, n) over rows with a label, the long form of V2: only pairs that
+    occur. A missing prediction is a pair with null."""
+    return (df.where(col(label).isNotNull())
+              .groupBy(col(label).alias("y"), col(pred).alias("p"))
               .agg(F.count(F.lit(1)).alias("n")))
 
 
 def accuracy(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """V1: share of rows with prediction == label."""
-    return df.agg(F.avg((F.col(label) == F.col(pred)).cast("double")).alias("accuracy"))
+    """V1: share of labelled rows with prediction == label; a missing
+    prediction is wrong."""
+    right = F.coalesce(col(label) == col(pred), F.lit(False))
+    return df.where(col(label).isNotNull()).agg(F.avg(right.cast("double")).alias("accuracy"))
 
 
 def class_stats(df: DataFrame, label: str, pred: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -35,97 +39,109 @@ def class_stats(df: DataFrame, label: str, pred: str, keys: Sequence[str] = ())
 
     One aggregate straight from the scored rows: each row adds (c=label:
     support 1, tp 1 if correct) and (c=prediction: npred 1); map-side combine
-    leaves at most K rows per task and key. Every later table is derived from
-    this one, so the scan happens once."""
-    y, p = F.col(label), F.col(pred)
+    leaves at most K rows per task and key. Rows without a label don't count; a
+    missing prediction adds to its label's support only."""
+    y, p = col(label), col(pred)
     parts = F.array(
-        F.struct(y.alias("c"), F.lit(1).alias("s"), (y == p).cast("int").alias("t"), F.lit(0).alias("q")),
+        F.struct(y.alias("c"), F.lit(1).alias("s"), F.coalesce((y == p).cast("int"), F.lit(0)).alias("t"),
+                 F.lit(0).alias("q")),
         F.struct(p.alias("c"), F.lit(0).alias("s"), F.lit(0).alias("t"), F.lit(1).alias("q")))
-    return (df.where(y.isNotNull() & p.isNotNull()).select(*keys, F.inline(parts))
-              .groupBy(*keys, "c").agg(F.sum("t").alias("tp"), F.sum("s").alias("support"),
-                                       F.sum("q").alias("npred")))
+    return (df.where(y.isNotNull()).select(*[col(k) for k in keys], F.inline(parts)).where(F.col("c").isNotNull())
+              .groupBy(*[col(k) for k in keys], "c").agg(F.sum("t").alias("tp"), F.sum("s").alias("support"),
+                                                         F.sum("q").alias("npred")))
 
 
-def class_list(df: DataFrame, label: str, pred: str, bound: int = MAX_CLASSES) -> list:
-    """Sorted union of label and prediction values, checked against ``bound``
-    before it reaches the driver."""
-    y, p = F.col(label), F.col(pred)
-    distinct = (df.where(y.isNotNull() & p.isNotNull())
-                  .select(F.explode(F.array(y, p)).alias("c")).distinct())      # one scan
-    classes = sorted(r["c"] for r in distinct.limit(bound + 1).collect())
-    if len(classes) > bound:
-        raise ValueError("too many classes for a confusion matrix")
-    return classes
+def class_list(df: DataFrame, label: str, pred: str) -> list:
+    """Sorted union of label and prediction values: as many as the result of a
+    confusion matrix has rows and columns."""
+    y, p = col(label), col(pred)
+    distinct = (df.where(y.isNotNull()).select(F.explode(F.array(y, p)).alias("c"))     # one scan
+                  .where(F.col("c").isNotNull()).distinct())
+    return sorted(r["c"] for r in distinct.collect())
 
 
 def _confusion_pivot(df: DataFrame, label: str, pred: str, classes: Sequence) -> DataFrame:
     """(y, one count column per class) in one aggregate. Each row also adds a
     zero entry under its predicted class as a true label, so a class that is
-    only ever predicted still gets its row (no join back to the class list)."""
-    y, p = F.col(label), F.col(pred)
+    only ever predicted still gets its row (no join back to the class list).
+    Rows without a prediction are in no cell."""
+    y, p = col(label), col(pred)
     parts = F.array(F.struct(y.alias("y"), p.alias("p"), F.lit(1).alias("n")),
                     F.struct(p.alias("y"), F.lit(None).cast(df.schema[pred].dataType).alias("p"),
                              F.lit(0).alias("n")))
-    return (df.where(y.isNotNull() & p.isNotNull()).select(F.inline(parts))
+    return (df.where(y.isNotNull()).select(F.inline(parts)).where(F.col("y").isNotNull())
               .groupBy("y").pivot("p", list(classes)).agg(F.sum("n")))
 
 
 def confusion_long(df: DataFrame, label: str, pred: str) -> DataFrame:
     """V2 (long): (true_label, pred_label, n) over the sorted union of classes, zero cells included.
 
-    Zero cells come from pivoting on the (checked) class list, not from a
-    cross join."""
+    Zero cells come from pivoting on the class list, not from a cross join; for
+    very many classes take ``pair_counts``, which has none."""
     classes = class_list(df, label, pred)
-    wide = _confusion_pivot(df, label, pred, classes)
-    stack = ", ".join(f"{_lit_sql(c)}, coalesce(`{c}`, 0)" for c in classes)
-    return wide.selectExpr("y as true_label",
-                           f"stack({len(classes)}, {stack}) as (pred_label, n)") \
-               .withColumn("n", F.col("n").cast("bigint"))
-
-
-def _lit_sql(v) -> str:
-    return f"'{v}'" if isinstance(v, str) else repr(v)
+    names = [f"_c{i}" for i in range(len(classes))]
+    wide = _confusion_pivot(df, label, pred, classes).toDF("y", *names)
+    cells = F.array(*[F.struct(F.lit(c).cast(df.schema[pred].dataType).alias("pred_label"),
+                               F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias("n"))
+                      for c, n in zip(classes, names)])
+    return wide.select(F.col("y").alias("true_label"), F.inline(cells))
 
 
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """V2/S7 (wide): rows ``true_i``, columns ``pred_i`` by position in the sorted classes."""
+    """V2/S7 (wide): rows ``true_i``, columns ``pred_i`` by position in the
+    sorted classes, rows in that order."""
     classes = class_list(df, label, pred)
-    wide = _confusion_pivot(df, label, pred, classes)
-    pos = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(i))])
-    return wide.select(
-        F.concat(F.lit("true_"), F.element_at(pos, F.col("y")).cast("string")).alias("label"),
-        *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias(f"pred_{i}")
-          for i, c in enumerate(classes)]).orderBy("label")
+    names = [f"pred_{i}" for i in range(len(classes))]
+    wide = _confusion_pivot(df, label, pred, classes).toDF("y", *names)
+    order = Window.orderBy("y").rowsBetween(Window.unboundedPreceding, Window.currentRow)   # K rows
+    return (wide.withColumn("_i", F.count(F.lit(1)).over(order) - 1)
+                .orderBy("_i")
+                .select(F.concat(F.lit("true_"), F.col("_i").cast("string")).alias("label"),
+                        *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in names]))
+
+
+def _with_rates(per: DataFrame) -> DataFrame:
+    """Adds precision, recall and f1_score to class counts; 0/0 is 0."""
+    zero = F.lit(0.0)
+    per = per.withColumns({
+        "precision": F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred")), zero),
+        "recall": F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), zero)})
+    return per.withColumn("f1_score", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
+                                                              F.col("precision") + F.col("recall")), zero))
+
+
+#: rows of a report that are not classes
+SUMMARY = ("accuracy", "macro avg", "weighted avg")
 
 
 def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """V3: (class, precision, recall, f1_score, support) per class, then
-    'accuracy', 'macro avg', 'weighted avg'. 0/0 -> 0."""
-    per = class_stats(df, label, pred)
-    prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred")), F.lit(0.0))
-    rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
-    per = per.withColumns({"precision": prec, "recall": rec})
-    f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
-                                 F.col("precision") + F.col("recall")), F.lit(0.0))
-    per = per.withColumn("f1_score", f1)
-    classes = per.select(F.col("c").cast("string").alias("class"), "precision", "recall",
-                         "f1_score", F.col("support").cast("bigint").alias("support"))
-    tot = per.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"),
-                  F.avg("precision").alias("mp"), F.avg("recall").alias("mr"),
-                  F.avg("f1_score").alias("mf"),
-                  (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
-                  (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
-                  (F.sum(F.col("f1_score") * F.col("support")) / F.sum("support")).alias("wf"))
-    def row(name, prec, rec, f1):
-        return F.struct(F.lit(name).alias("class"), prec.cast("double").alias("precision"),
-                        rec.cast("double").alias("recall"), f1.cast("double").alias("f1_score"),
-                        F.col("n").cast("bigint").alias("support"))
-    # the three summary rows come from the one totals row (no branch per row)
-    summary = tot.select(F.inline(F.array(
-        row("accuracy", F.lit(None), F.lit(None), F.col("tp") / F.col("n")),
-        row("macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
-        row("weighted avg", F.col("wp"), F.col("wr"), F.col("wf")))))
-    return classes.unionByName(summary)
+    'accuracy', 'macro avg', 'weighted avg'. 0/0 -> 0.
+
+    One aggregate over the scored rows. Totals are windows on its K rows; the
+    first class row also emits the three summary rows, so nothing is read or
+    aggregated twice. A class may not bear the name of a summary row."""
+    per = _with_rates(class_stats(df, label, pred))
+    every = Window.partitionBy(F.lit(0))
+    weighted = {f"w_{m}": F.try_divide(F.sum(F.col(m) * F.col("support")).over(every), F.sum("support").over(every))
+                for m in ("precision", "recall", "f1_score")}
+    per = per.withColumns({
+        "n": F.sum("support").over(every), "hits": F.sum("tp").over(every),
+        **{f"m_{m}": F.avg(m).over(every) for m in ("precision", "recall", "f1_score")}, **weighted,
+        "first": F.row_number().over(every.orderBy("c")) == 1})
+    name = F.col("c").cast("string")
+    name = F.when(name.isin(*SUMMARY), F.raise_error(F.concat(F.lit("reserved class name: "), name))).otherwise(name)
+
+    def row(label_, p, r, f1, n):
+        return F.struct(label_.alias("class"), p.cast("double").alias("precision"), r.cast("double").alias("recall"),
+                        f1.cast("double").alias("f1_score"), n.cast("bigint").alias("support"))
+
+    own = row(name, F.col("precision"), F.col("recall"), F.col("f1_score"), F.col("support"))
+    none = F.lit(None)
+    summary = [row(F.lit("accuracy"), none, none, F.try_divide("hits", "n"), F.col("n")),
+               row(F.lit("macro avg"), F.col("m_precision"), F.col("m_recall"), F.col("m_f1_score"), F.col("n")),
+               row(F.lit("weighted avg"), F.col("w_precision"), F.col("w_recall"), F.col("w_f1_score"), F.col("n"))]
+    return per.select(F.inline(F.when(F.col("first"), F.array(own, *summary)).otherwise(F.array(own))))
 
 
 def flatten_report(report: DataFrame) -> DataFrame:
@@ -139,9 +155,9 @@ def flatten_report(report: DataFrame) -> DataFrame:
 
 
 def weighted_f1(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """V5: support-weighted F1."""
-    return (classification_report(df, label, pred).where(F.col("class") == "weighted avg")
-            .select(F.col("f1_score").alias("weighted_f1")))
+    """V5: support-weighted F1, straight from the class counts."""
+    per = _with_rates(class_stats(df, label, pred))
+    return per.agg(F.try_divide(F.sum(F.col("f1_score") * F.col("support")), F.sum("support")).alias("weighted_f1"))
 
 
 def log_loss(df: DataFrame, label_index: str, probs: str, eps: float = 1e-15) -> DataFrame:
@@ -165,15 +181,10 @@ def per_model_scores(long: DataFrame, model: str = "model", label: str = "y",
     per-(model, class) aggregate (<= M x K rows): one pass over the scored rows
     instead of one report per model. ``keys``: further per-model columns
     (e.g. position) carried through the grouping instead of joined back."""
-    per = class_stats(long, label, pred, [model, *keys])
-    pr = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred")), F.lit(0.0))
-    rc = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
-    per = per.withColumns({"_p": pr, "_r": rc})
-    per = per.withColumn("_f", F.coalesce(F.try_divide(2 * F.col("_p") * F.col("_r"),
-                                                       F.col("_p") + F.col("_r")), F.lit(0.0)))
+    per = _with_rates(class_stats(long, label, pred, [model, *keys]))
     return per.groupBy(model, *keys).agg(
         (F.sum("tp") / F.sum("support")).alias("accuracy"),
-        (F.sum(F.col("_f") * F.col("support")) / F.sum("support")).alias("f1_score"))
+        (F.sum(F.col("f1_score") * F.col("support")) / F.sum("support")).alias("f1_score"))
 
 
 def leaderboard(results: DataFrame, score: str = "f1_score", position: str = "position") -> DataFrame:
@@ -198,9 +209,3 @@ def speedup(times: DataFrame, seconds: str = "seconds") -> DataFrame:
     """Slowest time / each time."""
     slowest = times.agg(F.max(seconds)).first()[0]      # one scalar
     return times.withColumn("speedup", F.lit(slowest) / F.col(seconds))
-
-
-def metric_row(name: str, df: DataFrame, metric_cols: Sequence[str]) -> dict:
-    """Helper: one-row metric frame -> dict (driver scalar)."""
-    r = df.first()
-    return {"model": name, **{c: r[c] for c in metric_cols}}

@@ -30,13 +30,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievekit.functions.names import col
+
 DEFAULT_ACCURACY = 10_000
 FINAL_MAX_DISTINCT = 1_000_000
 
 
 def clean_double(c) -> Column:
     """Numeric column as double with NaN folded to null (pandas 'missing')."""
-    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    x = (col(c) if isinstance(c, str) else c).cast("double")
     return F.nanvl(x, F.lit(None).cast("double"))
 
 
@@ -105,7 +107,7 @@ def _exact(spark, long, cols, probs, accuracy, final_max_distinct):
         if all((t, 0) in values and (t, 1) in values for t in range(len(targets))):
             return _interpolate(cols, probs, targets, values)
 
-    for rounds in range(1, 9):
+    while True:             # every round narrows each wide bracket about a thousandfold
         j = _with_targets(long, targets)
         inb = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
         st = {r["t"]: r for r in j.groupBy("t").agg(
@@ -138,6 +140,8 @@ def _exact(spark, long, cols, probs, accuracy, final_max_distinct):
             p1 = (g["k1"] - g["below"] + 1) / n_in + delta
             i0 = max(0, int(math.floor(p0 * GRID)) - 1)
             i1 = min(GRID, int(math.ceil(p1 * GRID)) + 1)
+            if (gv[i0], gv[i1]) == (g["lo"], g["hi"]):
+                raise RuntimeError("a quantile's bracket can't be narrowed; raise final_max_distinct")
             g["lo"], g["hi"] = gv[i0], gv[i1]
 
     values = _select_in_brackets(spark, long, targets)

@@ -6,7 +6,7 @@ is the job. Here the order key's leading hex digits split every class into
 16**digits sub-buckets of near-equal size (md5 is uniform): ranks are numbered
 inside each (label, sub-bucket) window and shifted by the sizes of the
 earlier sub-buckets of the same class (a small table: at most K x 16**digits
-rows, checked before it is broadcast).
+rows).
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 2_000_000
+from sievekit.functions.names import col
+
 RANK_ROWS_PER_BUCKET = 1_000_000     # target rows per (class, sub-bucket) window task
 MAX_DIGITS = 8                       # 16**8 sub-buckets; 8 hex digits fit a long
 
@@ -35,29 +36,21 @@ def sub_bucket(key: Column, digits: int) -> Column:
 
 def order_key(id_col: str, seed: int) -> Column:
     """md5 of the id text followed by '|seed' (same in DuckDB: md5(id::varchar || '|42'))."""
-    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}")))
+    return F.md5(F.concat(col(id_col).cast("string"), F.lit(f"|{seed}")))
 
 
 def stratified_rank(df: DataFrame, label: str, id_col: str, seed: int = 42,
-                    digits: int = 3, rank_col: str = "_rank",
-                    n_classes: int | None = None) -> DataFrame:
+                    digits: int = 3, rank_col: str = "_rank") -> DataFrame:
     """Adds ``rank_col``: 0-based position of the row inside its class in the
-    order (md5(id|seed), id). With ``n_classes`` known the offsets table is
-    bounded by n_classes * 16**digits rows without counting it."""
-    key = order_key(id_col, seed)
-    df = df.withColumn("_k", key).withColumn("_sb", sub_bucket(F.col("_k"), digits))
-    sizes = df.groupBy(label, "_sb").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(label).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    order (md5(id|seed), id). The offsets table has a row per class and
+    sub-bucket; it is joined on the window's own partitioning, so the rows are
+    shuffled once, and Spark broadcasts it where it is small."""
+    df = df.withColumn("_k", order_key(id_col, seed)).withColumn("_sb", sub_bucket(F.col("_k"), digits))
+    sizes = df.groupBy(col(label).alias("_y"), F.col("_sb").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_y").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    # Broadcast only under a proven bound. With n_classes known, a bound above
-    # the limit means a large offsets table: it is joined on the window's own
-    # (label, sub-bucket) partitioning (the table is not shuffled again) and
-    # AQE may still broadcast it at run time; no counting pass is spent on it.
-    bound = n_classes * 16 ** digits if n_classes is not None else sizes.count()
-    if bound <= MAX_BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    w = Window.partitionBy(label, "_sb").orderBy("_k", id_col)
+    w = Window.partitionBy(col(label), "_sb").orderBy("_k", col(id_col))
     ranked = df.withColumn("_rn", F.row_number().over(w) - 1)
-    return (ranked.join(offsets, [label, "_sb"], "left")
+    return (ranked.join(offsets, (col(label) == F.col("_y")) & (F.col("_sb") == F.col("_b")), "left")
                   .withColumn(rank_col, (F.col("_off") + F.col("_rn")).cast("bigint"))
-                  .drop("_k", "_sb", "_rn", "_off"))
+                  .drop("_k", "_sb", "_rn", "_off", "_y", "_b"))

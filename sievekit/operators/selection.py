@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievekit.functions.names import col, text_literal
 from sievekit.operators.quantiles import clean_double, quantiles
 
 
@@ -16,14 +17,17 @@ def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     One scan builds (n, mean, var_pop) per class for all features side by side
     (K rows), unpivots that small table, and combines in the centred form
     F = [sum n_c (m_c - m)^2 / (K-1)] / [sum n_c var_c / (n-K)].
+
+    No variance inside the classes gives infinity if their means differ; F is
+    null where it is undefined (one class, one row per class, a constant).
     """
     feats = list(features)
     aggs = []
     for i, f in enumerate(feats):
         x = clean_double(f)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
-    per_class = df.where(F.col(label).isNotNull()).groupBy(label).agg(*aggs)
-    stack = ", ".join(f"'{f}', {i}, n{i}, m{i}, v{i}" for i, f in enumerate(feats))
+    per_class = df.where(col(label).isNotNull()).groupBy(col(label)).agg(*aggs)
+    stack = ", ".join(f"{text_literal(f)}, {i}, n{i}, m{i}, v{i}" for i, f in enumerate(feats))
     long = per_class.selectExpr(
         f"stack({len(feats)}, {stack}) as (feature, position, n_c, m_c, v_c)").where("n_c > 0")
     # totals per feature over its K class rows: a window on the small table,
@@ -34,7 +38,10 @@ def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     res = j.groupBy("feature", "position", "n", "k").agg(
         F.sum(F.col("n_c") * (F.col("m_c") - F.col("m")) * (F.col("m_c") - F.col("m"))).alias("ssb"),
         F.sum(F.col("n_c") * F.col("v_c")).alias("ssw"))
-    f_val = F.try_divide(F.col("ssb") / (F.col("k") - 1), F.col("ssw") / (F.col("n") - F.col("k")))
+    between = F.try_divide("ssb", F.col("k") - 1)
+    within = F.try_divide("ssw", F.col("n") - F.col("k"))
+    f_val = (F.when((within == 0) & (between > 0), F.lit(float("inf")))
+              .otherwise(F.try_divide(between, within)))
     return res.select("feature", F.col("position").cast("int").alias("position"),
                       f_val.alias("f_value"))
 
@@ -43,7 +50,11 @@ def select_k_best(df: DataFrame, features: Sequence[str], label: str, k: int) ->
     """The k features with the largest F, returned in original column order.
 
     Ties keep the later position, as ``argsort`` on the scores does."""
-    scores = anova_f(df, features, label)
+    return best_features(anova_f(df, features, label), k)
+
+
+def best_features(scores: DataFrame, k: int) -> list[str]:
+    """The k best of an ``anova_f`` table, so that scores and choice share a scan."""
     top = (scores.orderBy(F.desc_nulls_last("f_value"), F.desc("position")).limit(k)
                  .select("feature", "position").collect())      # <= k rows
     return [r["feature"] for r in sorted(top, key=lambda r: r["position"])]
@@ -55,6 +66,11 @@ class RobustScalerModel:
     def __init__(self, stats: Mapping[str, tuple[float, float]]):
         self.stats = dict(stats)
 
+    def stage(self, suffix: str = ""):
+        """The same as a savable pipeline stage."""
+        from sievekit.plans.stages import RobustScale
+        return RobustScale.of(self.stats, suffix)
+
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
         out = {}
         for c, (center, scale) in self.stats.items():

@@ -1,4 +1,9 @@
-"""Exact stratified hold-out (X1) and stratified k-fold."""
+"""Exact stratified hold-out (X1) and stratified k-fold.
+
+Class sizes, allocations and boundaries are small tables (a row per class, or
+per class and hash prefix) that stay tables: they are joined to the rows, so the
+number of classes has no limit and Spark broadcasts them when they are small.
+"""
 
 from __future__ import annotations
 
@@ -7,174 +12,115 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
+from sievekit.functions.names import col, quoted
 from sievekit.operators.ranking import (MAX_DIGITS, RANK_ROWS_PER_BUCKET, order_key, stratified_rank,
                                         sub_bucket, sub_bucket_digits)
+from sievekit.session import work_dir
 
-MAX_CLASSES = 100_000
+START_DIGITS = 2          # hex digits of the first count: 256 sub-buckets per class
 
 
-def class_counts(df: DataFrame, label: str, max_classes: int = MAX_CLASSES) -> dict:
-    """{label: n} for non-null labels; K is checked before it reaches the driver."""
-    g = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    rows = g.limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes in {label!r}")
-    return {r[label]: r["n"] for r in rows}
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def allocate_test(counts: dict, test_size: float = 0.2) -> dict:
-    """Per-class test sizes: n_test = ceil(test_size * n); floor of each class's
-    share, the remaining rows to the largest remainders (ties -> lower class).
+def allocate_test(counts: DataFrame, label: str, test_size: float = 0.2) -> DataFrame:
+    """Per-class test sizes for a table (label, n): adds ``t``. The total is
+    ceil(test_size * n); every class gets the floor of its share, the remaining
+    rows go to the largest remainders (ties to the lower class).
 
-    Raises ValueError like the reference's library: a class with fewer than 2
-    rows, or fewer test/train rows than classes."""
-    n = sum(counts.values())
+    Raises ValueError like the reference's library: no rows, a class with fewer
+    than 2 rows, or fewer test/train rows than classes."""
+    r = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.count_if(F.col("n") < 2).alias("small")).first()
+    n, k = r["n"] or 0, r["k"]
     if n == 0:
         raise ValueError("empty input")
-    small = [c for c, v in counts.items() if v < 2]
-    if small:
-        raise ValueError(f"the least populated class has only 1 member: {small}")
+    if r["small"]:
+        raise ValueError(f"the least populated class has only 1 member ({r['small']} such classes)")
     n_test = math.ceil(Fraction(str(test_size)) * n)
-    n_train = n - n_test
-    k = len(counts)
-    if n_test < k or n_train < k:
-        raise ValueError(f"test ({n_test}) and train ({n_train}) sizes must be >= {k} classes")
-    exact = {c: Fraction(n_test * v, n) for c, v in counts.items()}
-    alloc = {c: math.floor(x) for c, x in exact.items()}
-    rest = n_test - sum(alloc.values())
-    order = sorted(counts, key=lambda c: (-(exact[c] - alloc[c]), c))
-    for c in order[:rest]:
-        alloc[c] += 1
-    return alloc
-
-
-def _label_map(mapping: dict):
-    return F.create_map(*[x for k, v in sorted(mapping.items()) for x in (F.lit(k), F.lit(v))])
-
-
-MAP_LITERAL_MAX = 256   # per-class values beyond this many classes are joined, not looked up
-
-
-def _with_class_values(df: DataFrame, label: str, values: dict) -> DataFrame:
-    """Adds one long column per entry of ``values`` ({column: {class: value}});
-    null where the class has no value (and for a null label).
-
-    A few classes: a literal map lookup in the projection. Many classes: a
-    literal map is searched key by key on every row, so the (class, values)
-    table - at most MAX_CLASSES rows, checked by class_counts - is
-    broadcast-joined instead (no shuffle of ``df``)."""
-    keys = set().union(*[m.keys() for m in values.values()])
-    if len(keys) <= MAP_LITERAL_MAX:
-        return df.withColumns({c: (F.try_element_at(_label_map(m), F.col(label)) if m
-                                   else F.lit(None)).cast("long") for c, m in values.items()})
-    schema = StructType([StructField(label, df.schema[label].dataType)]
-                        + [StructField(c, LongType()) for c in values])
-    rows = [(k, *[values[c].get(k) for c in values]) for k in sorted(keys)]
-    small = df.sparkSession.createDataFrame(rows, schema)
-    return df.join(F.broadcast(small), label, "left")
-
-
-SELECT_SPLIT_MIN_ROWS = 20_000_000   # from here on a split never shuffles the table
+    if n_test < k or n - n_test < k:
+        raise ValueError(f"test ({n_test}) and train ({n - n_test}) sizes must be >= {k} classes")
+    # exact integers: n_test * n_c = floor * n + remainder
+    product = F.col("n").cast("decimal(19,0)") * F.lit(n_test).cast("decimal(19,0)")
+    rest = (product % F.lit(n).cast("decimal(19,0)")).cast("decimal(38,0)")
+    shares = counts.withColumn("_rest", rest).withColumn(
+        "_floor", ((product.cast("decimal(38,0)") - F.col("_rest")) / F.lit(n).cast("decimal(19,0)")).cast("long"))
+    left = n_test - (shares.agg(F.sum("_floor")).first()[0] or 0)
+    by_remainder = Window.orderBy(F.desc("_rest"), col(label))        # a row per class
+    return (shares.withColumn("t", F.col("_floor") + (F.row_number().over(by_remainder) <= left).cast("long"))
+                  .drop("_rest", "_floor"))
+
+
+def _bucket_counts(keyed: DataFrame, label: str, digits: int) -> DataFrame:
+    return (keyed.groupBy(col(label).alias("_y"), sub_bucket(F.col("_k"), digits).alias("_sb"))
+                 .agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _boundaries(sizes: DataFrame, want: DataFrame) -> DataFrame:
+    """Per class with t > 0: the sub-bucket ``_bsb`` that holds its t-th row in
+    key order, how many of its rows are wanted (``_br``), and its size ``_bn``."""
+    upto = Window.partitionBy("_y").orderBy("_sb").rowsBetween(Window.unboundedPreceding, 0)
+    before = F.col("_cum") - F.col("_n")
+    return (sizes.join(want, "_y").withColumn("_cum", F.sum("_n").over(upto))
+                 .where((before < F.col("t")) & (F.col("_cum") >= F.col("t")))
+                 .select("_y", F.col("_sb").alias("_bsb"), (F.col("t") - before).alias("_br"),
+                         F.col("_n").alias("_bn")))
 
 
 def stratified_holdout(df: DataFrame, label: str, id_col: str, test_size: float = 0.2,
-                       seed: int = 42, split_col: str = "split", method: str = "auto",
+                       seed: int = 42, split_col: str = "split",
                        target_rows: int = RANK_ROWS_PER_BUCKET) -> DataFrame:
     """Adds ``split`` in {'train','test'} with exact class-proportional sizes.
 
-    The test rows of a class are its first t_c rows in the order
-    (md5(id|seed), id). Two plans give the same rows:
-
-    * ``rank``: every row is ranked inside (class, md5 sub-bucket) windows
-      (one shuffle of the table). Cheapest while the table is small.
-    * ``select``: the boundary of each class is found from sub-bucket counts
-      and only the boundary sub-buckets are ranked; the table is scanned,
-      never shuffled (see ``_holdout_by_selection``).
-
-    ``auto`` picks ``select`` from ``SELECT_SPLIT_MIN_ROWS`` rows on; the row
-    count comes from the class-count pass, which reads the label column only.
-    Rows with a null label go to train. ``id_col`` must identify rows uniquely
-    (it is the order key: a repeated id lands in one sub-bucket, and its rows
-    would tie)."""
-    counts = class_counts(df, label)
-    alloc = allocate_test(counts, test_size)
-    if method not in ("auto", "rank", "select"):
-        raise ValueError("method must be 'auto', 'rank' or 'select'")
-    if method == "select" or (method == "auto" and sum(counts.values()) >= SELECT_SPLIT_MIN_ROWS):
-        return _holdout_by_selection(df, label, id_col, seed, alloc, split_col, target_rows)
-    digits = sub_bucket_digits(max(counts.values()), min_digits=3)
-    ranked = stratified_rank(df, label, id_col, seed, digits=digits, n_classes=len(counts))
-    ranked = _with_class_values(ranked, label, {"_t": alloc})
-    return ranked.select(*df.columns, F.when(F.col("_rank") < F.col("_t"), F.lit("test"))
-                         .otherwise(F.lit("train")).alias(split_col))
-
-
-START_DIGITS = 2          # 256 sub-buckets per class in the first count
-
-
-def _boundaries(sizes: DataFrame, label: str, want: dict) -> list:
-    """Per class with want_c > 0: the sub-bucket holding its want_c-th row in
-    key order, how many rows of it are still wanted, and its size. One window
-    over the small (class, sub-bucket, n) table; at most K rows come back."""
-    upto = Window.partitionBy(label).orderBy("_sb").rowsBetween(Window.unboundedPreceding, 0)
-    t = F.col("_t")
-    before = F.col("_cum") - F.col("_n")
-    return (_with_class_values(sizes, label, {"_t": want}).withColumn("_cum", F.sum("_n").over(upto))
-                 .where((before < t) & (F.col("_cum") >= t))
-                 .select(label, "_sb", (t - before).alias("_r"), "_n").collect())
-
-
-def _holdout_by_selection(df: DataFrame, label: str, id_col: str, seed: int, alloc: dict,
-                          split_col: str, target_rows: int) -> DataFrame:
-    """The first t_c rows per class without sorting the table:
+    The test rows of a class are its first t rows in the order (md5(id|seed),
+    id). They are selected, not sorted out:
 
-    1. one scan counts rows per (class, first 2 hex digits of the md5 key),
-       map-side combined; a window over that small table gives, per class,
-       the boundary sub-bucket b_c and how many of its rows still go to
-       test (r_c);
+    1. one scan counts rows per (class, first hex digits of the key), map-side
+       combined; class sizes are sums of that table, and a window over it finds
+       each class's boundary sub-bucket;
     2. while a boundary sub-bucket holds more than ``target_rows`` rows, only
-       its rows are re-counted on 2 more digits (a filtered scan);
-    3. rows below/above b_c are decided by literals in a narrow projection;
-       only the rows of the K boundary sub-buckets are ranked by a window.
+       its rows are counted again on two more digits;
+    3. rows on either side of their class's boundary are decided as they are
+       read; only the boundary sub-buckets are ranked by a window.
 
-    A class holding a third of the rows costs the same as any other."""
+    The table is never shuffled, and a class that holds a third of the rows
+    costs the same as any other. Rows with a null label go to train. ``id_col``
+    must identify rows uniquely (a repeated id's rows would tie)."""
     keyed = df.withColumn("_k", order_key(id_col, seed))
+    known = keyed.where(col(label).isNotNull())
     d = START_DIGITS
-    sizes = (keyed.where(F.col(label).isNotNull())
-                  .groupBy(label, sub_bucket(F.col("_k"), d).alias("_sb"))
-                  .agg(F.count(F.lit(1)).alias("_n")))
-    bnd = _boundaries(sizes, label, alloc)
-    while bnd and max(r["_n"] for r in bnd) > target_rows and d + 2 <= MAX_DIGITS:
-        prev = _with_class_values(keyed, label, {"_prev": {r[label]: r["_sb"] for r in bnd}})
-        finer = (prev.where(sub_bucket(F.col("_k"), d) == F.col("_prev"))
-                     .groupBy(label, sub_bucket(F.col("_k"), d + 2).alias("_sb"))
-                      .agg(F.count(F.lit(1)).alias("_n")))
+    sizes = _written(_bucket_counts(known, label, d), "bucket-sizes")
+    counts = sizes.groupBy("_y").agg(F.sum("_n").alias("n"))
+    want = allocate_test(counts, "_y", test_size).select("_y", "t")
+    bounds = _written(_boundaries(sizes, want), "boundaries")
+    while (bounds.agg(F.max("_bn")).first()[0] or 0) > target_rows and d + 2 <= MAX_DIGITS:
+        inside = known.join(bounds, (col(label) == F.col("_y")) & (sub_bucket(F.col("_k"), d) == F.col("_bsb")), "left_semi")
+        finer = _bucket_counts(inside, label, d + 2)
         d += 2
-        bnd = _boundaries(finer, label, {r[label]: r["_r"] for r in bnd})
-    sb = sub_bucket(F.col("_k"), d)
-    keyed = _with_class_values(keyed, label, {"_bsb": {r[label]: r["_sb"] for r in bnd},
-                                              "_br": {r[label]: r["_r"] for r in bnd}})
-    b_sb, b_r = F.col("_bsb"), F.col("_br")
-    cols = df.columns
-    in_b = F.coalesce(sb == b_sb, F.lit(False))
-    # classes with t_c = 0 have no boundary: b_sb is null and every row is train
-    outside = keyed.where(~in_b).select(
-        *cols, F.when(sb < b_sb, F.lit("test")).otherwise(F.lit("train")).alias(split_col))
-    w = Window.partitionBy(label).orderBy("_k", id_col)
-    inside = keyed.where(in_b).select(
-        *cols, F.when(F.row_number().over(w) - 1 < b_r, F.lit("test"))
-                .otherwise(F.lit("train")).alias(split_col))
+        bounds = _written(_boundaries(finer, bounds.select("_y", F.col("_br").alias("t"))), "boundaries")
+    # classes without test rows have no boundary: every row is train
+    placed = (keyed.withColumn("_sb", sub_bucket(F.col("_k"), d))
+                   .join(bounds, col(label) == F.col("_y"), "left"))
+    cols = [quoted(c) for c in df.columns]
+    at = F.coalesce(F.col("_sb") == F.col("_bsb"), F.lit(False))
+    test, train = F.lit("test"), F.lit("train")
+    outside = placed.where(~at).select(
+        *cols, F.when(F.col("_sb") < F.col("_bsb"), test).otherwise(train).alias(split_col))
+    order = Window.partitionBy(col(label)).orderBy("_k", col(id_col))
+    inside = placed.where(at).select(
+        *cols, F.when(F.row_number().over(order) <= F.col("_br"), test).otherwise(train).alias(split_col))
     return outside.unionByName(inside)
 
 
 def stratified_kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 42,
                      fold_col: str = "fold") -> DataFrame:
     """``fold`` = (rank within class in md5 order) mod k; usable as CrossValidator.foldCol."""
-    counts = class_counts(df, label)
-    if all(v < k for v in counts.values()):
+    largest = (df.where(col(label).isNotNull()).groupBy(col(label)).agg(F.count(F.lit(1)).alias("n"))
+                 .agg(F.max("n")).first()[0] or 0)
+    if largest < k:
         raise ValueError(f"n_splits={k} cannot be greater than the number of members in each class")
-    digits = sub_bucket_digits(max(counts.values()), min_digits=3)
-    ranked = stratified_rank(df, label, id_col, seed, digits=digits, n_classes=len(counts))
+    ranked = stratified_rank(df, label, id_col, seed, digits=sub_bucket_digits(largest, min_digits=3))
     return ranked.withColumn(fold_col, F.pmod(F.col("_rank"), F.lit(k)).cast("int")).drop("_rank")

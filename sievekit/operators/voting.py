@@ -22,52 +22,16 @@ def soft_vote_arrays(df: DataFrame, prob_cols: Sequence[str], out: str = "probs"
     return df.withColumn("pred_index", idx).withColumn("confidence", mx)
 
 
-MAX_WIDE_CLASSES = 1024
-
-
-def class_list(probs: DataFrame, class_col: str, bound: int | None = None) -> list | None:
-    """Sorted distinct classes, or None when there are more than ``bound``
-    (default ``MAX_WIDE_CLASSES``; checked with a limit before anything
-    reaches the driver)."""
-    bound = MAX_WIDE_CLASSES if bound is None else bound
-    rows = (probs.where(F.col(class_col).isNotNull()).select(class_col).distinct()
-                 .limit(bound + 1).collect())
-    return None if len(rows) > bound else sorted(r[0] for r in rows)
-
-
 def soft_vote_long(probs: DataFrame, id_col: str = "id", class_col: str = "class",
-                   p_col: str = "p", classes: Sequence | None = None) -> DataFrame:
+                   p_col: str = "p") -> DataFrame:
     """Long (id, model, class, p) -> (id, prediction, confidence).
 
     Mean probability per (id, class), then per id the class with the largest
-    mean; ties go to the lowest class via min(struct(-p, class)).
-
-    With a bounded class list (given, or found by a distinct pass) this is ONE
-    ``groupBy(id)`` holding a conditional mean per class: the partial
-    aggregate runs map-side, so at most one row per id and task is shuffled
-    instead of every (model, class) row. Beyond ``MAX_WIDE_CLASSES`` classes
-    the two-step form is used."""
-    if classes is None:
-        classes = class_list(probs, class_col)
-    if classes is None:
-        return _soft_vote_two_step(probs, id_col, class_col, p_col)
-    dt = probs.schema[class_col].dataType
-    cls, p = F.col(class_col), F.col(p_col)
-    means = probs.groupBy(id_col).agg(
-        *[F.avg(F.when(cls == F.lit(c), p)).alias(f"_m{i}") for i, c in enumerate(classes)])
-    cand = [F.when(F.col(f"_m{i}").isNotNull(),
-                   F.struct((-F.col(f"_m{i}")).alias("np"), F.lit(c).cast(dt).alias("c")))
-            for i, c in enumerate(classes)]
-    best = F.least(*cand) if len(cand) > 1 else cand[0]
-    return means.select(id_col, best.alias("_b")).select(
-        id_col, F.col("_b.c").alias("prediction"), (-F.col("_b.np")).alias("confidence"))
-
-
-def _soft_vote_two_step(probs: DataFrame, id_col: str, class_col: str, p_col: str) -> DataFrame:
-    # one shuffle by id serves both aggregates (hash(id) already clusters
-    # (id, class)); a single id holds at most models x classes rows
-    mean = (probs.select(id_col, class_col, p_col).repartition(id_col)
-                 .groupBy(id_col, class_col).agg(F.avg(p_col).alias("_p")))
+    mean; ties go to the lowest class via min(struct(-p, class)). Any number of
+    classes; every class found takes part. The rows are dealt by id once, which
+    serves both aggregates (an id has at most models x classes rows)."""
+    rows = probs.select(id_col, class_col, p_col).repartition(id_col)
+    mean = rows.groupBy(id_col, class_col).agg(F.avg(p_col).alias("_p"))
     best = mean.groupBy(id_col).agg(F.min(F.struct((-F.col("_p")).alias("np"),
                                                    F.col(class_col).alias("c"))).alias("_b"))
     return best.select(id_col, F.col("_b.c").alias("prediction"),

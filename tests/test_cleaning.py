@@ -101,3 +101,48 @@ def test_hash_first_dedup_matches_groupby_semantics_for_floats(spark):
     df = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),), (1.0,)], "x double")
     assert profile.duplicate_count(df).first()[0] == df.count() - df.distinct().count() == 2
     assert cleaning.drop_exact_duplicates(df).count() == 3
+
+
+def test_integer_median_between_integers(spark):
+    df = spark.createDataFrame([(1, 1), (2, 2), (None, 7)], "a int, b int")
+    filled, med = cleaning.impute_median(df)
+    assert med == {"a": 1.5} and sorted(r.a for r in filled.collect()) == [1.0, 1.5, 2.0]
+    assert dict(filled.dtypes) == {"a": "double", "b": "int"}
+
+
+def test_dotted_names_through_the_data_stage(spark):
+    """Raw names are cleaned before they are renamed."""
+    from sievekit.plans.experiment import prepare_data
+    from sievekit.sources.tables import read_split
+    rows = [(i, float(i % 20) if i % 9 else None, 500.0 if i == 50 else float(i % 7), i % 3) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, `fixed.acidity` double, `p H` double, quality int")
+    out = work_dir(spark, "dotted")
+    info = prepare_data(df, "quality", "id", out, rename={"fixed.acidity": "fixed_acidity", "p H": "ph"})
+    got = read_split(spark, out)
+    assert set(got.columns) == {"id", "fixed_acidity", "ph", "quality", "split"}
+    assert got.count() == 199 and info["outliers"][1]["n_outliers"] == 1
+    assert got.where("fixed_acidity IS NULL").count() == 0
+    simultaneous, _ = cleaning.filter_outliers(df, ["fixed.acidity", "p H"], mode="simultaneous")
+    assert simultaneous.count() == 200 - 1 - sum(1 for r in rows if r[1] is None)
+    assert cleaning.apply_defaults(df, {"fixed.acidity": 1.0}).where("`fixed.acidity` IS NULL").count() == 0
+
+
+def test_repeats_under_unique_ids(spark):
+    rows = [(i, f"t{i % 10}", i % 10) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, t string, n int")
+    assert sorted(r.id for r in cleaning.drop_exact_duplicates(df, id_col="id").collect()) == list(range(10))
+
+
+def test_first_per_key_with_nulls_and_ties(spark):
+    df = spark.createDataFrame([(1, None, 5, "a"), (None, 1, 4, "b"), (1, None, 5, "a"), (2, 2, None, "c"),
+                                (2, 2, 9, "d")], "k1 int, k2 int, o int, v string")
+    got = sorted(((r.k1, r.k2, r.o, r.v) for r in cleaning.drop_exact_duplicates(df, ["k1", "k2"], "o").collect()), key=str)
+    assert got == sorted([(1, None, 5, "a"), (None, 1, 4, "b"), (2, 2, 9, "d")], key=str)
+
+
+def test_rules_for_absent_fields(spark):
+    import pytest
+    df = spark.createDataFrame([(3.2,)], "ph double")
+    with pytest.raises(ValueError):
+        cleaning.validate_ranges(df, [("density", 0.9, 1.1)])
+    assert cleaning.apply_defaults(df, {"density": 0.997}).first().density == 0.997

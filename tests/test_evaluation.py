@@ -54,14 +54,20 @@ def test_soft_vote_long_ties_to_lowest_class(spark):
     assert voting.soft_vote_long(tie, "id", "class", "p").first().prediction == 0
 
 
-def test_soft_vote_long_wide_equals_two_step(spark):
+def test_soft_vote_long_takes_every_class(spark):
+    """Absent (id, class) pairs, and any number of classes."""
     rows = [(i, m, c, ((i * 7 + m * 3 + c) % 5) / 8.0) for i in range(40) for m in range(3)
-            for c in range(4) if not (i % 9 == 0 and c == 2)]      # some (id, class) pairs absent
-    probs = spark.createDataFrame(rows, "id int, model int, class int, p double")
-    wide = voting.soft_vote_long(probs, "id", "class", "p")
-    two = voting._soft_vote_two_step(probs, "id", "class", "p")
-    assert sorted(wide.collect()) == sorted(two.collect())
-    assert voting.soft_vote_long(probs, "id", "class", "p", classes=[0, 1, 2, 3]).count() == 40
+            for c in range(1500 if i == 0 else 4) if not (i % 9 == 0 and c == 2)]
+    got = {r.id: (r.prediction, r.confidence) for r in voting.soft_vote_long(
+        spark.createDataFrame(rows, "id int, model int, class int, p double"), "id", "class", "p").collect()}
+    means = {}
+    for i, _, c, p in rows:
+        means.setdefault((i, c), []).append(p)
+    want = {}
+    for (i, c), ps in sorted(means.items()):
+        if i not in want or sum(ps) / len(ps) > want[i][1]:
+            want[i] = (c, sum(ps) / len(ps))
+    assert got == want
 
 
 def test_soft_vote_arrays_row_local(spark):
@@ -97,10 +103,46 @@ def test_confusion_and_report_string_classes(spark):
     assert rep["mid"].support == 1 and rep["mid"].precision == 0.0 and rep["accuracy"].f1_score == 0.5
 
 
-def test_soft_vote_long_falls_back_beyond_class_bound(spark, monkeypatch):
-    rows = [(i, m, c, ((i + 2 * m + 3 * c) % 4) / 4.0) for i in range(30) for m in range(2) for c in range(6)]
-    probs = spark.createDataFrame(rows, "id int, model int, class int, p double")
-    wide = sorted(voting.soft_vote_long(probs, "id", "class", "p").collect())
-    monkeypatch.setattr(voting, "MAX_WIDE_CLASSES", 3)
-    assert voting.class_list(probs, "class") is None
-    assert sorted(voting.soft_vote_long(probs, "id", "class", "p").collect()) == wide
+def test_missing_predictions_are_wrong(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (1, None), (2, None), (None, 1)], "y int, p int")
+    assert evaluation.accuracy(df, "y", "p").first()[0] == 0.25
+    rep = {r["class"]: r for r in evaluation.classification_report(df, "y", "p").collect()}
+    assert rep["1"].support == 3 and rep["2"].support == 1 and rep["accuracy"].f1_score == 0.25
+    assert rep["1"].recall == 1 / 3 and rep["1"].precision == 1.0
+    w = evaluation.weighted_f1(df, "y", "p").first()[0]
+    assert abs(w - rep["weighted avg"].f1_score) < 1e-12
+
+
+def test_many_classes_keep_their_order_and_quotes_are_values(spark):
+    df = spark.createDataFrame([(i, (i + i % 2) % 12) for i in range(12)], "y int, p int")
+    wide = evaluation.confusion_matrix(df, "y", "p").collect()
+    assert [r.label for r in wide] == [f"true_{i}" for i in range(12)] and wide[11].pred_0 == 1
+    odd = spark.createDataFrame([("it's", "it's"), ("a`b", "it's"), ("c.d", "c.d")], "`y.x` string, `p.x` string")
+    long = {(r.true_label, r.pred_label): r.n for r in evaluation.confusion_long(odd, "y.x", "p.x").collect()}
+    assert long[("a`b", "it's")] == 1 and len(long) == 9
+    assert evaluation.confusion_matrix(odd, "y.x", "p.x").count() == 3
+
+
+def test_report_is_one_scan(spark):
+    from tests.conftest import SF001
+    from sievekit.plans.catalog import model1
+    plan = evaluation.classification_report(model1(spark, SF001), "y", "pred")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_reserved_class_name_is_an_error(spark):
+    import pytest
+    df = spark.createDataFrame([("accuracy", "x")], "y string, p string")
+    with pytest.raises(Exception, match="reserved class name"):
+        evaluation.classification_report(df, "y", "p").collect()
+
+
+def test_anova_edges(spark):
+    """A separating feature, a constant, as many rows as classes, dotted names."""
+    df = spark.createDataFrame([(0, 1.0, 5.0, 1.0), (0, 1.0, 5.0, 2.0), (1, 9.0, 5.0, 1.5), (1, 9.0, 5.0, 1.7)],
+                               "y int, `a.b` double, c double, `it's` double")
+    f = {r.feature: r.f_value for r in selection.anova_f(df, ["a.b", "c", "it's"], "y").collect()}
+    assert f["a.b"] == float("inf") and f["c"] is None and 0 <= f["it's"] < 10
+    assert selection.select_k_best(df, ["c", "it's", "a.b"], "y", 1) == ["a.b"]
+    few = spark.createDataFrame([(0, 1.0), (1, 2.0)], "y int, x double")
+    assert selection.anova_f(few, ["x"], "y").first().f_value is None
