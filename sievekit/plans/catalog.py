@@ -97,13 +97,8 @@ def pseudo_predictions(spark, d, li: DataFrame | None = None, keep: tuple = ())
     One scan; the models' rows come from exploding an array of structs, so
     anything computed upstream (``li`` with ``keep`` columns) is computed once."""
     li = li if li is not None else table(spark, d, "lineitem")
-    wrong = ((F.col("l_linenumber") + F.col("l_suppkey") % 3) % 7) + 1
-    per_model = []
-    for m in range(1, N_PSEUDO_MODELS + 1):
-        pred = F.when((F.col("l_orderkey") + F.col("l_partkey") * m) % (m + 2) == 0, wrong) \
-                .otherwise(F.col("l_linenumber"))
-        per_model.append(F.struct(F.lit(f"model_{m}").alias("model"), F.lit(m).alias("position"),
-                                  pred.cast("int").alias("pred")))
+    per_model = [F.struct(F.lit(f"model_{m}").alias("model"), F.lit(m).alias("position"),
+                          _pseudo_prediction(m).alias("pred")) for m in range(1, N_PSEUDO_MODELS + 1)]
     return li.select(li_row_id().alias("row_id"), F.col("l_linenumber").alias("y"), *keep,
                      F.explode(F.array(*per_model)).alias("_m")) \
              .select("row_id", "y", "_m.model", "_m.position", "_m.pred", *keep)
@@ -117,21 +112,38 @@ PRED_SQL = """pp AS (
   FROM lineitem, (SELECT unnest([1, 2, 3]) AS m))"""
 
 
+def _pseudo_prediction(m: int):
+    wrong = ((F.col("l_linenumber") + F.col("l_suppkey") % 3) % 7) + 1
+    return F.when((F.col("l_orderkey") + F.col("l_partkey") * m) % (m + 2) == 0, wrong) \
+            .otherwise(F.col("l_linenumber")).cast("int")
+
+
 def model1(spark, d) -> DataFrame:
-    return pseudo_predictions(spark, d).where(F.col("model") == "model_1")
+    """The first model's rows alone; no other model's are made."""
+    return table(spark, d, "lineitem").select(li_row_id().alias("row_id"), F.col("l_linenumber").alias("y"),
+                                              F.lit("model_1").alias("model"), F.lit(1).alias("position"),
+                                              _pseudo_prediction(1).alias("pred"))
+
+
+N_CLASSES = 10
 
 
-def softmax_slice(emb, m: int, width: int = 10):
-    """Given model m's probabilities: softmax of embedding[m*width : (m+1)*width]."""
-    logits = F.slice(emb, m * width + 1, width).cast("array<double>")
-    z = F.transform(logits, lambda x: F.exp(x))
-    s = F.aggregate(z, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(z, lambda x: x / s)
+def given_probabilities(emb, m: int):
+    """Given model m's probabilities: softmax over 10 classes; the logit of
+    class c is the sum of all embedding elements i with (i + m) mod 10 = c."""
+    values = F.col(emb).cast("array<double>") if isinstance(emb, str) else emb.cast("array<double>")
+    logits = F.transform(F.sequence(F.lit(0), F.lit(N_CLASSES - 1)), lambda c: F.aggregate(
+        F.filter(values, lambda x, i: (i + m) % N_CLASSES == c), F.lit(0.0), lambda acc, x: acc + x))
+    z = F.transform(logits, F.exp)
+    # one evaluation of z, bound to a lambda variable
+    return F.get(F.transform(F.array(z), lambda e: F.transform(
+        e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda acc, y: acc + y))), F.lit(0))
 
 
-PROBS_SQL = """z AS (SELECT vec_id, label, (i - 1) // 10 AS m, (i - 1) % 10 AS c,
-    exp(embedding[i]::DOUBLE) AS z
-  FROM (SELECT vec_id, label, embedding, unnest(range(1, 31)) AS i FROM embeddings)),
+PROBS_SQL = """zi AS (SELECT vec_id, label, embedding, unnest(range(0, 64)) AS i FROM embeddings),
+zm AS (SELECT vec_id, label, m, (i + m) % 10 AS c, sum(embedding[i + 1]::DOUBLE) AS l
+  FROM zi, (SELECT unnest([0, 1, 2]) AS m) GROUP BY ALL),
+z AS (SELECT vec_id, label, m, c, exp(l) AS z FROM zm),
 probs AS (SELECT vec_id, label, m, c, z / sum(z) OVER (PARTITION BY vec_id, m) AS p FROM z)"""
 
 
@@ -290,6 +302,17 @@ def q_c1(spark, d):
     return filled.select("event_id", "value", "user_id")
 
 
+@register("c1_impute_integer", """WITH ev AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE user_id END AS user_id FROM events),
+m AS (SELECT quantile_cont(user_id::DOUBLE, 0.5) AS mu FROM ev)
+SELECT event_id, coalesce(user_id::DOUBLE, mu) AS user_id FROM ev, m""")
+def q_c1_int(spark, d):
+    """C1 on an integer column as it is: filled values may lie between integers."""
+    ev = table(spark, d, "events").select(
+        "event_id", F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("user_id")).alias("user_id"))
+    filled, _ = cleaning.impute_median(ev, ["user_id"])
+    return filled
+
+
 @register("c2_iqr_bounds", """SELECT column_name, round(q1, 6) AS q1, round(q3, 6) AS q3,
   round(q1 - 1.5 * (q3 - q1), 6) AS lower, round(q3 + 1.5 * (q3 - q1), 6) AS upper FROM (
   SELECT 'value' AS column_name, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
@@ -381,6 +404,14 @@ def q_c5k(spark, d):
 PART_RULES = [("p_size", 1, 40, 25), ("p_retailprice", 920.0, 990.0, 950.0)]
 
 
+@register("c5_repeats_under_unique_ids", """SELECT min(doc_id) AS doc_id, text, lang, n_chars FROM documents
+GROUP BY text, lang, n_chars""")
+def q_c5_ids(spark, d):
+    """Rows that agree in everything but the id; the lowest id stays."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "n_chars")
+    return cleaning.drop_exact_duplicates(docs, id_col="doc_id")
+
+
 @register("c6_validate_ranges", """SELECT p_partkey,
   concat_ws(',', CASE WHEN NOT (p_size BETWEEN 1 AND 40) THEN 'p_size' END,
                  CASE WHEN NOT (p_retailprice BETWEEN 920.0 AND 990.0) THEN 'p_retailprice' END)
@@ -512,11 +543,12 @@ SELECT vec_id, round(max(p) * 100, 1) AS confidence_pct FROM probs WHERE m = 0 G
 def q_f12(spark, d):
     """F12 on the max class probability of a given probability table (embedding softmax)."""
     emb = table(spark, d, "embeddings")
-    return emb.select("vec_id", fx.confidence_pct(F.array_max(softmax_slice(F.col("embedding"), 0)))
+    return emb.select("vec_id", fx.confidence_pct(F.array_max(given_probabilities("embedding", 0)))
                       .alias("confidence_pct"))
 
 
-@register("f10_assemble")
+@register("f10_assemble", "WITH " + LI_SQL + """
+SELECT l_orderkey, l_linenumber, [quantity, price, discount, tax] AS features FROM li""")
 def q_f10(spark, d):
     from pyspark.ml.functions import vector_to_array
     li = lineitem_features(spark, d)
@@ -524,6 +556,74 @@ def q_f10(spark, d):
     return v.select("l_orderkey", "l_linenumber", vector_to_array("features").alias("features"))
 
 
+# the canonical 11 columns, given by expressions over lineitem
+_CANONICAL = {
+    "fixed_acidity": "l_quantity", "volatile_acidity": "l_discount", "citric_acid": "l_tax",
+    "residual_sugar": "l_quantity * 0.1", "chlorides": "l_discount * 0.5", "free_sulfur_dioxide": "l_linenumber * 3.0",
+    "total_sulfur_dioxide": "l_quantity * 2.0", "density": "0.99 + l_tax * 0.1", "ph": "3.0 + l_discount",
+    "sulphates": "l_tax * 2.0", "alcohol": "8.0 + l_linenumber"}
+_CANONICAL_SQL = ", ".join(f"({e})::DOUBLE AS {c}" for c, e in _CANONICAL.items())
+
+
+def canonical_table(spark, d) -> DataFrame:
+    return table(spark, d, "lineitem").select(
+        li_row_id().alias("row_id"), *[F.expr(e).cast("double").alias(c) for c, e in _CANONICAL.items()])
+
+
+_ENGINEERED = {
+    "acid_ratio": "fixed_acidity / (volatile_acidity + 1e-8)",
+    "sulfur_ratio": "free_sulfur_dioxide / (total_sulfur_dioxide + 1e-8)",
+    "alcohol_density_ratio": "alcohol / density", "log_residual_sugar": "ln(1 + residual_sugar)",
+    "log_chlorides": "ln(1 + chlorides)", "alcohol_squared": "alcohol * alcohol", "ph_squared": "ph * ph"}
+
+
+@register("engineered_features", f"""WITH c AS (SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS row_id,
+  {_CANONICAL_SQL} FROM lineitem)
+SELECT row_id, """ + ", ".join(f"round({c}, 6) AS {c}" for c in _CANONICAL) + ", "
+    + ", ".join(f"round({e}, 4) AS {c}" for c, e in _ENGINEERED.items()) + """,
+  (alcohol > 0 AND alcohol <= 10)::INTEGER AS alcohol_low, (alcohol > 10 AND alcohol <= 12)::INTEGER AS alcohol_medium,
+  (alcohol > 12 AND alcohol <= 15)::INTEGER AS alcohol_high FROM c""")
+def q_engineered(spark, d):
+    """The 21-feature table: 11 canonical columns, 7 derived, 3 flags."""
+    df = fx.engineered_features(canonical_table(spark, d))
+    return df.select("row_id", *[rnd(c).alias(c) for c in _CANONICAL],
+                     *[F.round(c, 4).alias(c) for c in _ENGINEERED], "alcohol_low", "alcohol_medium", "alcohol_high")
+
+
+class _GivenModel:
+    """A given probability model for scoring requests: softmax over 3 classes of
+    class-wise multiples of the features' mean."""
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import vector_to_array
+        mean = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x) / 13
+        return df.withColumn("_m", mean).withColumn("probability", F.array(
+            *[F.exp(F.col("_m") * w) / (F.exp(F.col("_m") * 0.01) + F.exp(F.col("_m") * 0.02) + F.exp(F.col("_m") * -0.01))
+              for w in (0.01, 0.02, -0.01)]))
+
+
+@register("scoring_flow", f"""WITH c AS (SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS row_id,
+  {_CANONICAL_SQL} FROM lineitem WHERE l_orderkey % 10 <> 0),
+m AS (SELECT row_id, (""" + " + ".join([*_CANONICAL, "ln(1 + residual_sugar)", "ln(1 + chlorides)"]) + """) / 13 AS m FROM c),
+p AS (SELECT row_id, exp(m * 0.01) AS z0, exp(m * 0.02) AS z1, exp(m * -0.01) AS z2 FROM m),
+q AS (SELECT row_id, z0 / (z0 + z1 + z2) AS p0, z1 / (z0 + z1 + z2) AS p1, z2 / (z0 + z1 + z2) AS p2 FROM p),
+b AS (SELECT row_id, CASE WHEN p0 >= p1 AND p0 >= p2 THEN 4 WHEN p1 >= p2 THEN 6 ELSE 7 END AS prediction,
+  greatest(p0, p1, p2) AS conf FROM q)
+SELECT row_id, prediction, round(conf, 6) AS confidence,
+  CASE WHEN prediction >= 7 THEN 'excellent' WHEN prediction >= 5 THEN 'good' ELSE 'needs improvement' END AS tier,
+  round(conf * 100, 1) AS confidence_pct FROM b""")
+def q_scoring_flow(spark, d):
+    """C8 -> F1 -> F5 -> F10 -> I1 -> F11 -> F12 on requests with dotted names, a
+    tenth of them incomplete."""
+    from sievekit.plans.experiment import score_requests
+    rows = table(spark, d, "lineitem").select(li_row_id().alias("row_id"), "l_orderkey", *[
+        F.expr(e).cast("double").cast("string").alias(c.replace("_", ".")) for c, e in _CANONICAL.items()])
+    rows = rows.withColumn("alcohol", F.when(F.col("l_orderkey") % 10 != 0, F.col("alcohol")))
+    out = score_requests(rows, {c.replace("_", "."): c for c in _CANONICAL}, ["residual_sugar", "chlorides"],
+                         _GivenModel(), [4, 6, 7], keep=["row_id"])
+    return out.withColumn("confidence", rnd("confidence"))
+
+
 # ---------------------------------------------------------------- selection
 _E_FEATS = ["quantity", "price", "discount", "tax"]
 _ANOVA_SQL = "WITH " + LI_SQL + """,
@@ -551,8 +651,36 @@ QUALIFY row_number() OVER (ORDER BY f_value DESC, position DESC) <= 2""")
 def q_e2(spark, d):
     li = lineitem_features(spark, d)
     names = selection.select_k_best(li, _E_FEATS, "l_linenumber", 2)
-    scores = selection.anova_f(li, _E_FEATS, "l_linenumber")
-    return scores.where(F.col("feature").isin(names)).select("feature", "position")
+    return spark.createDataFrame([(n, _E_FEATS.index(n)) for n in names], "feature string, position int")
+
+
+# a feature that separates the classes, a constant, and two in between
+_EDGE_SQL = _ANOVA_SQL.replace(LI_SQL, """li AS (SELECT l_linenumber, l_linenumber * 10.0::DOUBLE AS quantity,
+  1.0::DOUBLE AS price, l_discount AS discount, l_tax AS tax FROM lineitem)""").replace(
+    "(sum(n_c * (m_c - m) * (m_c - m)) / (max(k) - 1)) / (sum(n_c * v_c) / (max(n) - max(k))) AS f_value",
+    "CASE WHEN feature = 'quantity' THEN 'Infinity'::DOUBLE WHEN feature = 'price' THEN NULL ELSE "
+    "(sum(n_c * (m_c - m) * (m_c - m)) / (max(k) - 1)) / (sum(n_c * v_c) / (max(n) - max(k))) END AS f_value")
+
+
+def _edge_features(spark, d) -> DataFrame:
+    return table(spark, d, "lineitem").select(
+        "l_linenumber", (F.col("l_linenumber") * 10.0).alias("quantity"), F.lit(1.0).alias("price"),
+        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"))
+
+
+@register("e1_anova_separating_feature", _EDGE_SQL + """
+SELECT feature, position::INTEGER AS position, round(f_value, 6) AS f_value FROM fv""")
+def q_e1_edge(spark, d):
+    """No variance inside the classes is infinity, a constant is null."""
+    f = selection.anova_f(_edge_features(spark, d), _E_FEATS, "l_linenumber")
+    return f.select("feature", "position", rnd("f_value").alias("f_value"))
+
+
+@register("e2_best_is_separating_feature", "SELECT 'quantity' AS feature, count(*) AS n FROM lineitem")
+def q_e2_edge(spark, d):
+    df = _edge_features(spark, d)
+    best = selection.select_k_best(df, _E_FEATS, "l_linenumber", 1)
+    return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(best[0]).alias("feature"), "n")
 
 
 @register("e3_robust_scale", "WITH " + x1_sql(
@@ -599,9 +727,9 @@ def q_x1e(spark, d):
     "SELECT event_id, event_type FROM events", "event_id", "event_type")
     + "\nSELECT event_id, event_type, split FROM sp")
 def q_x1es(spark, d):
-    """X1 with the selection plan (boundary sub-buckets only; the table is not shuffled)."""
+    """X1 with boundary sub-buckets counted again on finer digits before they are ranked."""
     ev = table(spark, d, "events").select("event_id", "event_type")
-    return splitting.stratified_holdout(ev, "event_type", "event_id", method="select")
+    return splitting.stratified_holdout(ev, "event_type", "event_id", target_rows=2)
 
 
 @register("x2_stratified_kfold", "WITH " + x2_sql(
@@ -619,7 +747,7 @@ SELECT vec_id, c::INTEGER AS prediction, round(ap, 6) AS confidence FROM avgp
 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY ap DESC, c) = 1""")
 def q_m8(spark, d):
     emb = table(spark, d, "embeddings")
-    df = emb.select("vec_id", *[softmax_slice(F.col("embedding"), m).alias(f"p{m}") for m in range(3)])
+    df = emb.select("vec_id", *[given_probabilities("embedding", m).alias(f"p{m}") for m in range(3)])
     voted = voting.soft_vote_arrays(df, ["p0", "p1", "p2"])
     return voted.select("vec_id", F.col("pred_index").alias("prediction"),
                         rnd("confidence").alias("confidence"))
@@ -639,7 +767,7 @@ def q_m8l(spark, d):
     # dyadic probabilities: sums are exact in any order, so ties are real ties
     long = long.withColumn("p", F.when(F.col("class") == F.col("pred"), F.lit(0.625))
                            .otherwise(F.lit(0.0625)))
-    v = voting.soft_vote_long(long, "row_id", "class", "p", classes=list(range(1, 8)))
+    v = voting.soft_vote_long(long, "row_id", "class", "p")
     return v.select("row_id", F.col("prediction").cast("int").alias("prediction"),
                     rnd("confidence").alias("confidence"))
 
@@ -656,7 +784,7 @@ def q_i1(spark, d):
     from sievekit.plans.training import fit_label_map
     emb = table(spark, d, "embeddings")
     lm = fit_label_map(emb, "label", "label_idx")
-    scored = emb.select("vec_id", softmax_slice(F.col("embedding"), 0).alias("probs"))
+    scored = emb.select("vec_id", given_probabilities("embedding", 0).alias("probs"))
     idx, mx = argmax_first("probs")
     scored = lm.decode(scored.select("vec_id", idx.alias("label_idx"), mx.alias("confidence")),
                        "label_idx", "prediction")
@@ -752,25 +880,31 @@ def q_v6(spark, d):
     from sievekit.plans.training import fit_label_map
     emb = table(spark, d, "embeddings")
     lm = fit_label_map(emb, "label", "label_idx")
-    df = lm.encode(emb).select("label_idx", softmax_slice(F.col("embedding"), 0).alias("probs"))
+    df = lm.encode(emb).select("label_idx", given_probabilities("embedding", 0).alias("probs"))
     ll = evaluation.log_loss(df, "label_idx", "probs")
     return ll.select(rnd("log_loss").alias("log_loss"))
 
 
 def _fold_scores(spark, d) -> DataFrame:
-    """Per (model, fold) accuracy. Folds depend only on the row, so they are
+    """Per (model, fold) weighted F1. Folds depend only on the row, so they are
     assigned once on lineitem and carried into every model's rows (no join)."""
     li = table(spark, d, "lineitem").withColumn("row_id", li_row_id())
     folded = splitting.stratified_kfold(li, "l_linenumber", "row_id", 5)
     pp = pseudo_predictions(spark, d, folded, keep=("fold",))
-    return pp.groupBy("model", "fold").agg(F.avg((F.col("y") == F.col("pred")).cast("double"))
-                                           .alias("score"))
+    scores = evaluation.per_model_scores(pp, "model", "y", "pred", keys=["fold"])
+    return scores.select("model", "fold", F.col("f1_score").alias("score"))
 
 
 @register("v7_cv_summary", "WITH " + PRED_SQL + ", " + x2_sql(
     "SELECT row_id, y FROM pp WHERE model = 'model_1'", "row_id", "y") + """,
-sc AS (SELECT model, fold, avg(CASE WHEN pp.y = pred THEN 1.0 ELSE 0.0 END) AS score
-       FROM pp JOIN fo USING (row_id) GROUP BY model, fold)
+pf AS (SELECT pp.model, fo.fold, pp.y, pp.pred FROM pp JOIN fo USING (row_id)),
+cc AS (SELECT model, fold, c, sum(s) AS support, sum(t) AS tp, sum(q) AS npred FROM (
+  SELECT model, fold, y AS c, 1 AS s, CASE WHEN y = pred THEN 1 ELSE 0 END AS t, 0 AS q FROM pf
+  UNION ALL SELECT model, fold, pred, 0, 0, 1 FROM pf) GROUP BY model, fold, c),
+cr AS (SELECT *, CASE WHEN npred = 0 THEN 0.0 ELSE tp::DOUBLE / npred END AS p,
+  CASE WHEN support = 0 THEN 0.0 ELSE tp::DOUBLE / support END AS r FROM cc),
+sc AS (SELECT model, fold, sum(CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END * support) / sum(support)
+         AS score FROM cr GROUP BY model, fold)
 SELECT model, round(avg(score), 6) AS cv_mean, round(2 * stddev_pop(score), 6) AS cv_two_std
 FROM sc GROUP BY model""")
 def q_v7(spark, d):

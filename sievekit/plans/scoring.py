@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from sievekit.functions.features import confidence_pct, quality_tier
 from sievekit.functions.vectors import argmax_first, prob_array
@@ -14,7 +15,7 @@ def score(df: DataFrame, model, label_map=None, prob_col: str = "probability",
     """One transform over the whole table (no per-row loop).
 
     Output: prediction (decoded label), confidence (max probability, first max
-    on ties), tier and confidence_pct."""
+    on ties), tier (null unless the label is a number) and confidence_pct."""
     scored = model.transform(df)
     arr = prob_array(prob_col) if prob_col in scored.columns else F.col("probability_arr")
     scored = scored.withColumn("_probs", arr)
@@ -24,6 +25,9 @@ def score(df: DataFrame, model, label_map=None, prob_col: str = "probability",
         scored = label_map.decode(scored, "_idx", "prediction_label")
     else:
         scored = scored.withColumn("prediction_label", F.col("_idx"))
+    kind = scored.schema["prediction_label"].dataType
+    tier = (quality_tier("prediction_label") if isinstance(kind, NumericType)
+            else F.lit(None).cast("string"))
     return scored.select(*keep, F.col("prediction_label").alias("prediction"), "confidence",
-                         quality_tier("prediction_label").alias("tier"),
+                         tier.alias("tier"),
                          confidence_pct("confidence").alias("confidence_pct"))

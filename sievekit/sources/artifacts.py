@@ -39,7 +39,8 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_model(model, path: str) -> str:
-    """Persist a fitted ``PipelineModel`` (scaler, selector, label map are stages)."""
+    """Persist a fitted ``PipelineModel``; scaler, selection, per-class
+    models, soft vote and label map are stages of it (``plans.stages``)."""
     model.write().overwrite().save(path)
     return path
 
@@ -51,13 +52,13 @@ def load_model(path: str):
 
 
 def fresh_inputs(spark: SparkSession, path: str, max_age_hours: float = 24.0,
-                 now: dt.datetime | None = None) -> DataFrame:
+                 now: dt.datetime | None = None, pattern: str = "*") -> DataFrame:
     """Per input file, its size, modification time and whether it is younger
     than ``max_age_hours`` (file listing only; one row per file)."""
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     cutoff = now - dt.timedelta(hours=max_age_hours)
     # binaryFile lists files; without the ``content`` column no file is opened
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
                   .option("recursiveFileLookup", "true").load(path)
                   .select(F.col("path").alias("file_path"), F.col("length").alias("size_bytes"),
                           F.col("modificationTime").alias("modified")))

@@ -6,7 +6,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -32,10 +34,30 @@ def score_stream(spark: SparkSession, in_dir: str, schema: StructType | str,
 
 def changed_inputs(spark: SparkSession, in_dir: str, schema: StructType | str,
                    transform: Callable[[DataFrame], DataFrame], out_dir: str,
-                   checkpoint: str) -> int:
+                   checkpoint: str, max_files_per_trigger: int = 64) -> int:
     """Rerun the stage ``transform`` only on input files not seen before
     (the checkpoint remembers processed files; append-only semantics: a
-    rewritten old file is not detected). Output is appended to ``out_dir``.
-    Returns the number of input rows processed by this call (0 = unchanged)."""
-    q = score_stream(spark, in_dir, schema, transform, out_dir, checkpoint)
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    rewritten old file is not detected, see ``changed_files``). A backlog is
+    taken in batches of at most ``max_files_per_trigger`` files. Output is
+    appended to ``out_dir``. Returns the number of rows this call appended
+    (0 = unchanged), counted in the output."""
+    def rows() -> int:
+        try:
+            return spark.read.parquet(out_dir).count()
+        except AnalysisException:          # nothing written yet
+            return 0
+
+    before = rows()
+    score_stream(spark, in_dir, schema, transform, out_dir, checkpoint, max_files_per_trigger=max_files_per_trigger)
+    return rows() - before
+
+
+def changed_files(now: DataFrame, last: DataFrame) -> DataFrame:
+    """S10 for rewritten files: listings (``file_path``, ``size_bytes``,
+    ``modified``) of this run and the last; gives the files that are new or
+    whose length or time differs, with ``change`` = new, changed or removed."""
+    a = now.select("file_path", F.col("size_bytes").alias("s1"), F.col("modified").alias("m1"))
+    b = last.select("file_path", F.col("size_bytes").alias("s0"), F.col("modified").alias("m0"))
+    change = (F.when(F.col("m0").isNull(), "new").when(F.col("m1").isNull(), "removed")
+              .when((F.col("s0") != F.col("s1")) | (F.col("m0") != F.col("m1")), "changed"))
+    return a.join(b, "file_path", "full").select("file_path", change.alias("change")).where(F.col("change").isNotNull())

@@ -26,3 +26,15 @@ def test_changed_inputs_counts(spark):
     df = ml_catalog.q_s10(spark, SF0001)
     runs = df.select("rows_per_run").first()[0].split(",")
     assert int(runs[1]) == 0 and int(runs[0]) + int(runs[2]) == df.count() == 100
+    assert df.where("as_in_batch").count() == 100
+
+
+def test_rewritten_files_are_seen(spark):
+    import datetime as dt
+    from sievekit.streaming.scoring_stream import changed_files
+    t = dt.datetime(2026, 1, 1)
+    schema = "file_path string, size_bytes long, modified timestamp"
+    last = spark.createDataFrame([("a", 1, t), ("b", 2, t), ("c", 3, t)], schema)
+    now = spark.createDataFrame([("a", 1, t), ("b", 2, t + dt.timedelta(1)), ("d", 4, t)], schema)
+    assert {(r.file_path, r.change) for r in changed_files(now, last).collect()} == {
+        ("b", "changed"), ("c", "removed"), ("d", "new")}
