@@ -27,7 +27,7 @@ from sievekit.functions.names import col, quoted, text_literal
 from sievekit.plans.stages import AssembleColumns, ClassProbabilities
 
 MAX_DEPTH = 30        # Spark's tree depth limit; stands in for "unlimited"
-FIT_PARTITIONS = 32   # of the input of a forest, whatever the cluster
+FIT_PARTITIONS = 8    # of the input of a forest, whatever the cluster
 
 
 # ---------------------------------------------------------------- F9
