@@ -18,9 +18,11 @@ contracted, and nodes all of whose classes are in one component are done.
 Exhaustive comparison is left for nodes that hold several components, and only
 between them. Nodes still large at the last level are compared in blocks.
 
-Minwise sketches decide which pairs are looked at (agreement of ``likely`` or
-more, five standard deviations below the threshold); each of these is confirmed
-on the full sets. Whole texts are read; nothing is capped or sampled.
+Minwise sketches decide what is compared (agreement of ``likely`` or more, five
+standard deviations below the threshold); every link is confirmed on the full
+sets. A group of classes yields classes worth comparing and links that join
+something new, never its pairs. Whole texts are read; nothing is capped or
+sampled.
 
 Words are runs of non-ASCII-white-space with A-Z lower-cased. A text of fewer
 than five words is one shingle; a null or empty text has none and is linked
@@ -121,12 +123,10 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, n_tokens: int, likely: float
     return pairs.join(b, "b").join(a, "a").where(same >= int(likely * n_tokens)).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
-               size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    reps = wanted.join(classes.select("cid", "rep", "rep_th"), "cid")
+def _full_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
+               size: int) -> DataFrame:
+    """``cid``, ``items`` (the class's shingles) for the classes ``cid`` of ``wanted``."""
+    reps = wanted.select("cid").distinct().join(classes.select("cid", "rep", "rep_th"), "cid")
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).alias("id"), text.alias("t")).withColumn("th", row_hash(F.col("t")))
     src = (texts.join(reps, texts["id"].eqNullSafe(reps["rep"]) & (texts["th"] == reps["rep_th"]))
@@ -138,7 +138,11 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: st
             yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(found, pa.binary())], ["cid", "items"])
 
     # a repeated row would double its class
-    full = stored(src.mapInArrow(sets, "cid long, items binary").dropDuplicates(["cid"]), "sets")
+    return stored(src.mapInArrow(sets, "cid long, items binary").dropDuplicates(["cid"]), "sets")
+
+
+def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
     # the side with the popular classes first, while rows are small
     joined = (pairs.join(full.select(F.col("cid").alias("b"), F.col("items").alias("ib")), "b")
                    .join(full.select(F.col("cid").alias("a"), F.col("items").alias("ia")), "a")
@@ -156,27 +160,77 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: st
     return stored(joined.mapInArrow(check, "a long, b long"), "confirmed")
 
 
-def _within_nodes(rows: DataFrame, key: list[str], n_tokens: int, likely: float) -> DataFrame:
-    """Exhaustive comparison of the groups ``key``: agreeing pairs of classes
-    from different components (and different ``side`` if there is one)."""
+def _promising(rows: DataFrame, key: list[str], n_tokens: int, likely: float) -> DataFrame:
+    """Of each group ``key`` the classes whose sketch agrees with that of a
+    class of another component. Classes, not pairs: no group makes more rows
+    than it has."""
+    names = [*key, "cid", "comp"]
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
+
+    def compare(table: pa.Table) -> pa.Table:
+        comp = table.column("comp").to_numpy()
+        marks = np.vstack([np.asarray(x, np.int32) for x in table.column("sketch").to_pylist()])
+        keep = np.zeros(len(comp), bool)
+        for i in range(len(comp)):
+            at = np.flatnonzero(comp[i + 1:] != comp[i]) + i + 1
+            at = at[(marks[at] == marks[i]).sum(axis=1) >= int(likely * n_tokens)]
+            keep[at] = True
+            keep[i] |= len(at) > 0
+        return table.select(names).filter(pa.array(keep))
+
+    return rows.groupBy(*key).applyInArrow(compare, schema)
+
+
+def common_items(sets: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+    """Sizes of all pairwise intersections: products of the 0/1 matrix of sets
+    and the items that occur twice, some columns at a time."""
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, item, times = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_inverse=True,
+                               return_counts=True)
+    shared = np.cumsum(times > 1) - 1
+    use = times[item] > 1
+    rows, item = rows[use], shared[item[use]]
+    order = np.argsort(item, kind="stable")
+    rows, item = rows[order], item[order]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    for first in range(0, int(item[-1]) + 1 if len(item) else 0, columns):
+        a, b = np.searchsorted(item, (first, first + columns))
+        block = np.zeros((len(sets), columns), np.float32)
+        block[rows[a:b], item[a:b] - first] = 1
+        out += block @ block.T
+    return out.astype(np.int64)
+
+
+def _links_within(rows: DataFrame, key: list[str], percent: int) -> DataFrame:
+    """Exhaustive comparison of the groups ``key`` on full sets. Of the links
+    between components those that join something new are returned: they connect
+    what all links connect, and are fewer than the group's classes."""
     def compare(table: pa.Table) -> pa.Table:
         table = table.sort_by("cid")
         cid, comp = (table.column(c).to_numpy() for c in ("cid", "comp"))
-        side = table.column("side").to_numpy()
-        marks = np.vstack([np.asarray(x, np.int32) for x in table.column("sketch").to_pylist()])
-        out_a, out_b = [], []
-        for i in range(len(cid)):
-            other = (comp[i + 1:] != comp[i]) & ((side[i + 1:] != side[i]) | (side[i] == 0))
-            at = np.flatnonzero(other) + i + 1
-            if len(at):
-                at = at[(marks[at] == marks[i]).sum(axis=1) >= int(likely * n_tokens)]
-                out_a += [cid[at]]
-                out_b += [np.full(len(at), cid[i])]
-        empty = [np.empty(0, np.int64)]
-        return pa.table({"a": pa.array(np.concatenate(out_a or empty), pa.int64()),
-                         "b": pa.array(np.concatenate(out_b or empty), pa.int64())})
-
-    return rows.groupBy(*key).applyInArrow(compare, "a long, b long").distinct()
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("items").to_pylist()]
+        both = common_items(sets)
+        size = np.array([len(x) for x in sets])
+        linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+        linked &= comp[:, None] != comp[None, :]
+        parent: dict[int, int] = {}
+
+        def find(x):
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        out = []
+        for i, j in zip(*np.nonzero(np.triu(linked, 1))):
+            a, b = find(int(comp[i])), find(int(comp[j]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((int(cid[i]), int(cid[j])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()),
+                         "b": pa.array([y for _, y in out], pa.int64())})
+
+    return rows.groupBy(*key).applyInArrow(compare, "a long, b long")
 
 
 def _mixed(rows: DataFrame, comps: DataFrame) -> DataFrame:
@@ -215,41 +269,40 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     for level in nodes:
         own = level.where("cid <> pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b"))
         stars = own if stars is None else stars.union(own)
-    links = _confirmed(_agreeing(stars.distinct(), classes, n_tokens, likely), classes, docs,
-                       id_col, text_col, shingle, percent)
-    comps = stored(connected_components(links), "components")
+    pairs = stored(_agreeing(stars.distinct(), classes, n_tokens, likely), "pairs")
+    full = _full_sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")), classes, docs,
+                      id_col, text_col, shingle)
+    comps = stored(connected_components(_confirmed(pairs, full, percent)), "components")
 
     # 2. nodes that hold several components are compared exhaustively
     marks = classes.select("cid", "sketch")
-    side = F.lit(0).alias("side")
-    pairs, large = None, None
-    for i, level in enumerate(nodes):
-        mixed = stored(_mixed(level, comps), "mixed")
-        small = mixed.where(F.col("n") <= node_size).join(marks, "cid").select("path", "cid", "comp", "sketch", side)
-        own = _within_nodes(small, ["path"], n_tokens, likely)
-        pairs = own if pairs is None else pairs.union(own)
-        large = mixed.where(F.col("n") > node_size)
-    depth = len(nodes)
-    while depth < levels and not large.isEmpty():
-        level = _with_nodes(_children(large, classes, depth, trees, levels), "nodes")
-        mixed = stored(_mixed(level, comps), "mixed")
-        small = mixed.where(F.col("n") <= node_size).join(marks, "cid").select("path", "cid", "comp", "sketch", side)
-        pairs = pairs.union(_within_nodes(small, ["path"], n_tokens, likely))
+    whole = F.lit(0).cast("long")
+
+    def promising(mixed: DataFrame) -> DataFrame:
+        small = mixed.where(F.col("n") <= node_size).join(marks, "cid")
+        return _promising(small.select("path", whole.alias("x"), whole.alias("y"), "cid", "comp", "sketch"),
+                          ["path", "x", "y"], n_tokens, likely)
+
+    found, large, depth = None, None, 0
+    while depth < len(nodes) or depth < levels and not large.isEmpty():
+        if depth == len(nodes):
+            nodes.append(_with_nodes(_children(large, classes, depth, trees, levels), "nodes"))
+        mixed = stored(_mixed(nodes[depth], comps), "mixed")
+        found = promising(mixed) if found is None else found.union(promising(mixed))
         large = mixed.where(F.col("n") > node_size)
         depth += 1
-    # still large at the last level: every block of classes against every other
+    # still large at the last level: every block of classes with every other
     blocks = F.ceil(F.col("n") / (node_size / 2))
-    dealt = (large.withColumn("block", F.pmod(F.xxhash64("cid"), blocks))
-                  .join(marks, "cid")
-                  .select("path", "cid", "comp", "sketch", "block",
-                          F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
-                  .select("path", "cid", "comp", "sketch", F.least("block", "other").alias("x"),
-                          F.greatest("block", "other").alias("y"), "block"))
-    # side 0: a block against itself; 1 and 2: two blocks, compared across only
-    dealt = dealt.withColumn("side", F.when(F.col("x") == F.col("y"), 0)
-                             .when(F.col("block") == F.col("x"), 1).otherwise(2)).drop("block")
-    pairs = pairs.union(_within_nodes(dealt, ["path", "x", "y"], n_tokens, likely)).distinct()
-    more = _confirmed(pairs, classes, docs, id_col, text_col, shingle, percent)
+    own, other = F.pmod(F.xxhash64("cid"), blocks), F.col("other")
+    dealt = (large.join(marks, "cid")
+                  .select("path", "cid", "comp", "sketch", own.alias("own"),
+                          F.explode(F.sequence(whole, blocks - 1)).alias("other"))
+                  .select("path", F.least("own", other).alias("x"), F.greatest("own", other).alias("y"),
+                          "cid", "comp", "sketch"))
+    found = stored(found.union(_promising(dealt, ["path", "x", "y"], n_tokens, likely)), "promising")
+    missing = found.select("cid").distinct().join(full.select("cid"), "cid", "left_anti")
+    full = full.union(_full_sets(missing, classes, docs, id_col, text_col, shingle))
+    more = stored(_links_within(found.join(full, "cid"), ["path", "x", "y"], percent).distinct(), "links")
     if not more.isEmpty():
         comps = stored(connected_components(
             more.union(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))), "components")
