@@ -54,12 +54,12 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 class PageLines(HTMLParser):
     """Collects (text, tags, skipped, holders) lines; ``holders`` are the ids
-    of the open elements, outermost first."""
+    of the open block elements, outermost first."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
-        self.open: list[tuple[str, int, bool]] = []     # tag, element id, skipped
+        self.open: list[tuple[str, int, bool, bool]] = []   # tag, element id, skipped, itself boilerplate
         self.primary: set[int] = set()                  # article and main elements
         self.inside_primary = 0
         self._text: list[str] = []
@@ -71,7 +71,7 @@ class PageLines(HTMLParser):
         self._text.clear()
         if text:
             skipped = bool(self.open) and self.open[-1][2]
-            holders = tuple(e for _, e, _ in self.open)
+            holders = tuple(e for t, e, _, _ in self.open if t in BLOCK)
             self.lines.append((text, self._tags, skipped, holders))
             self._tags = 0
 
@@ -104,7 +104,7 @@ class PageLines(HTMLParser):
 
     def _close(self, at: int) -> None:
         self._flush()
-        for _, element, _ in self.open[at:]:
+        for _, element, _, _ in self.open[at:]:
             if element in self.primary:
                 self.inside_primary -= 1
         del self.open[at:]
@@ -126,11 +126,14 @@ class PageLines(HTMLParser):
         if tag in VOID:
             return
         outer = bool(self.open) and self.open[-1][2]
-        skipped = outer or self._boilerplate(tag, attrs)
+        if outer and tag in ("article", "main") and all(name == "form" or not own for name, _, _, own in self.open):
+            outer = False           # a form around the whole page, not in it
+        own = self._boilerplate(tag, attrs)
+        skipped = outer or own
         if skipped and not outer:
             self._flush()
         self._next += 1
-        self.open.append((tag, self._next, skipped))
+        self.open.append((tag, self._next, skipped, own))
         if tag in ("article", "main"):
             self.primary.add(self._next)
             self.inside_primary += 1
@@ -152,19 +155,17 @@ class PageLines(HTMLParser):
         elif tag in SPACING:
             self._text.append(" ")
         for i in range(len(self.open) - 1, -1, -1):
-            name, _, skipped = self.open[i]
+            name, _, skipped, _ = self.open[i]
             if name == tag:
                 if skipped:
                     self._flush()
                 if tag in BLOCK or skipped:
                     self._close(i)
                 else:               # an inline end tag leaves blocks opened after it alone
-                    _, element, _ = self.open.pop(i)
+                    _, element, _, _ = self.open.pop(i)
                     if element in self.primary:
                         self.inside_primary -= 1
                 return
-            if tag not in BLOCK and name in BLOCK and not skipped:
-                continue
 
     def handle_data(self, data):
         self._text.append(data)

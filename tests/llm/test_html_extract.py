@@ -48,3 +48,10 @@ def test_smoothing_and_clusters():
     assert np.allclose(H.smoothed(np.ones(7)), 1)
     got = H.content_lines([5, 4, 200, 300, 10, 250, 3, 4, 2, 3], [3, 3, 1, 1, 1, 1, 3, 3, 3, 3])
     assert got[2:6].all() and not got[8:].any()
+
+
+def test_form_around_the_page_is_no_form_in_it():
+    html = "<body><form><p>field</p><main><h1>T</h1><p>Body text.</p><form><p>inner</p></form></main></form></body>"
+    assert H.main_text(html) == "T\n\nBody text."
+    nested = "<form><nav><article><p>teaser</p></article></nav></form><article><p>kept</p></article>"
+    assert H.main_text(nested) == "kept"
