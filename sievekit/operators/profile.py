@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from sievekit.functions.names import col
 from sievekit.operators.quantiles import clean_double
 
 
@@ -59,29 +60,29 @@ def duplicate_count(df: DataFrame, keys: Sequence[str] | None = None) -> DataFra
 
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
     """P5: count per class, sorted by class, nulls excluded."""
-    return (df.where(F.col(label).isNotNull()).groupBy(label)
-              .agg(F.count(F.lit(1)).alias("n")).orderBy(label))
+    return (df.where(col(label).isNotNull()).groupBy(col(label))
+              .agg(F.count(F.lit(1)).alias("n")).orderBy(col(label)))
 
 
 def label_moments(df: DataFrame, label: str) -> DataFrame:
     """Mean and sample standard deviation (ddof=1) of the label."""
-    y = F.col(label).cast("double")
+    y = col(label).cast("double")
     return df.agg(F.avg(y).alias("label_mean"), F.stddev_samp(y).alias("label_std"))
 
 
 def class_count(df: DataFrame, label: str) -> DataFrame:
     """Number of distinct non-null labels (exact)."""
-    return df.agg(F.count_distinct(label).alias("n_classes"))
+    return df.agg(F.count_distinct(col(label)).alias("n_classes"))
 
 
 def profile(df: DataFrame, label: str) -> dict:
-    """Shape, missing total, duplicates and label summary as driver scalars
-    (all bounded: one row each, and K label counts)."""
+    """Shape, missing total, duplicates and label moments as driver scalars (one
+    row each), and the label counts as a table."""
     sh = shape(df).first()
     return {
         "n_rows": sh["n_rows"], "n_cols": sh["n_cols"], "columns": df.columns,
         "missing": missing_total(df).first()["n_missing"],
         "duplicates": duplicate_count(df).first()["n_duplicates"],
-        "label_counts": {r[label]: r["n"] for r in label_distribution(df, label).collect()},
+        "label_counts": label_distribution(df, label),
         **label_moments(df, label).first().asDict(),
     }

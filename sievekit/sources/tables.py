@@ -18,15 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_table(spark: SparkSession, path: str, schema: StructType | str | None = None,
                fmt: str | None = None, rename: Mapping[str, str] | None = None,
-               normalise: bool = True) -> DataFrame:
+               normalise: bool = True, bad_fields: str = "null") -> DataFrame:
     """S1 (+S2, F1): CSV with header or Parquet, explicit schema, NaN/empty -> null,
-    dotted raw names renamed at the scan."""
+    dotted raw names renamed at the scan. CSV fields that don't parse become null,
+    or end the job with ``bad_fields="error"``."""
+    if bad_fields not in ("null", "error"):
+        raise ValueError("bad_fields is 'null' or 'error'")
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     if fmt == "csv":
-        df = r.option("header", True).option("nanValue", "NaN").option("mode", "PERMISSIVE").csv(path)
+        df = r.option("header", True).option("nanValue", "NaN").option("mode", "PERMISSIVE" if bad_fields == "null" else "FAILFAST").csv(path)
     else:
         df = r.format(fmt).load(path)
     if rename:
@@ -37,6 +40,7 @@ def load_table(spark: SparkSession, path: str, schema: StructType | str | None =
 def attach_label(features: DataFrame, labels: DataFrame, id_col: str,
                  how: str = "inner") -> DataFrame:
     """S3: features + label by an explicit row id (Spark has no row order).
+    ``how="left"`` keeps rows without a label.
 
     A sort-merge/shuffle-hash equi-join on the id; Catalyst picks broadcast only
     when statistics prove one side small."""

@@ -146,3 +146,26 @@ def test_rules_for_absent_fields(spark):
     with pytest.raises(ValueError):
         cleaning.validate_ranges(df, [("density", 0.9, 1.1)])
     assert cleaning.apply_defaults(df, {"density": 0.997}).first().density == 0.997
+
+
+def test_bad_csv_fields(spark):
+    import pytest
+    path = work_dir(spark, "bad")
+    spark.createDataFrame([("1.5",), ("x",)], "a string").write.option("header", True).csv(path)
+    assert sorted(str(r.a) for r in load_table(spark, path, "a double", fmt="csv").collect()) == ["1.5", "None"]
+    with pytest.raises(Exception):
+        load_table(spark, path, "a double", fmt="csv", bad_fields="error").collect()
+
+
+def test_valid_and_quarantined_rows(spark):
+    df = spark.createDataFrame([(3.2,), (6.0,), (None,)], "ph double")
+    good, bad = cleaning.split_valid(df, [("ph", 2.0, 5.0)])
+    assert sorted(str(r.ph) for r in good.collect()) == ["3.2", "None"]
+    assert [(r.ph, r.violations) for r in bad.collect()] == [(6.0, ["ph"])]
+
+
+def test_profile(spark):
+    df = spark.createDataFrame([(1.0, 0), (1.0, 0), (None, 1)], "`x.y` double, `l.m` int")
+    got = profile.profile(df, "l.m")
+    assert (got["n_rows"], got["missing"], got["duplicates"]) == (3, 1, 1)
+    assert [tuple(r) for r in got["label_counts"].collect()] == [(0, 2), (1, 1)]
