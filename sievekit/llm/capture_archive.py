@@ -107,15 +107,16 @@ def with_types(pages: DataFrame, id_col: str, url_col: str, payload_col: str, mi
     once, by id and digest, which no hot payload skews."""
     payload = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "utf-8")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("digest", F.unhex(F.sha1("payload")))
-    slim = rows.where(F.octet_length("payload") >= min_bytes).select("id", "digest")
+    # one key for join and window, null ids included, so payloads are dealt once
+    rows = rows.withColumn("digest", F.unhex(F.sha1("payload"))).withColumn(
+        "key", F.concat_ws(" ", F.hex("digest"), F.col("id").cast("string")))
+    slim = rows.where(F.octet_length("payload") >= min_bytes).select("id", "digest", "key")
     shared = stored(slim.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
                     .where("n > 1").drop("n"), "shared-payloads")
-    flags = (slim.join(shared, "digest").select("id", "digest", "first").distinct()
-                 .select(F.col("id").alias("f_id"), F.col("digest").alias("f_digest"), "first"))
-    joined = rows.join(flags, rows["id"].eqNullSafe(flags["f_id"]) & (rows["digest"] == flags["f_digest"]), "left")
-    copy = F.row_number().over(Window.partitionBy("id", "digest").orderBy("url"))
-    again = F.col("f_digest").isNotNull() & ~(F.col("id").eqNullSafe(F.col("first")) & (copy == 1))
+    flags = slim.join(shared, "digest").select("key", "first", F.lit(True).alias("shared")).distinct()
+    joined = rows.join(flags, "key", "left")
+    copy = F.row_number().over(Window.partitionBy("key").orderBy("url"))
+    again = F.coalesce("shared", F.lit(False)) & ~(F.col("id").eqNullSafe(F.col("first")) & (copy == 1))
     return (joined.withColumn("again", again)
                   .select("id", "url", "payload", F.when(F.col("again"), F.col("first")).alias("refers_to"), "again"))
 
