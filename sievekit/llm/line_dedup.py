@@ -61,7 +61,9 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     aggs = [F.count(F.lit(1)).alias("n_docs")]
     if keep == "first":
         aggs.append(F.min(F.struct("id", "th", "pos")).alias("first"))
-    hot = firsts.groupBy("h1", "h2").agg(*aggs).where(F.col("n_docs") >= min_docs)
+    # written, so that the join's two sides are plain shuffles and a frequent
+    # line's side can be split
+    hot = stored(firsts.groupBy("h1", "h2").agg(*aggs).where(F.col("n_docs") >= min_docs), "frequent-lines")
     hit = rows.join(hot, ["h1", "h2"])
     if keep == "first":
         hit = hit.where(~F.struct("id", "th", "pos").eqNullSafe(F.col("first")))
