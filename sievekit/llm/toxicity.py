@@ -133,12 +133,22 @@ def _document_frequencies(docs: DataFrame, bits: int) -> tuple[int, np.ndarray]:
             [pa.array(np.r_[-1, at], pa.int32()), pa.array(np.r_[n, total[at]], pa.int64())], ["f", "n"])
 
     rows = docs.mapInArrow(run, "f int, n long").groupBy("f").agg(F.sum("n").alias("n"))
-    got = rows.toPandas()                     # at most 1 + 2**bits rows
-    n = int(got.loc[got.f < 0, "n"].sum())
-    got = got[got.f >= 0]
+    got = rows.toArrow()                      # at most 1 + 2**bits rows
+    f, count = got.column("f").to_numpy(), got.column("n").to_numpy()
     out = np.zeros(1 << bits, np.int64)
-    out[got.f.to_numpy()] = got.n.to_numpy()
-    return n, out
+    out[f[f >= 0]] = count[f >= 0]
+    return int(count[f < 0].sum()), out
+
+
+def _lowest(ids: DataFrame, n: int, most: int) -> DataFrame:
+    """The ``most`` rows with the lowest id hashes out of about ``n``. Hashes are
+    uniform, so only rows below a share somewhat above ``most`` / ``n`` are
+    sorted, however many there are."""
+    rank = F.xxhash64("id")
+    share = 1.2 * (most + 100) / max(1, n)
+    if share < 1:
+        ids = ids.where(rank < F.lit(int(share * 2 ** 64) - 2 ** 63))
+    return ids.orderBy(rank, "id").limit(most)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -151,21 +161,25 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not n_toxic:
         return None
     prior = min(0.95, n_toxic / n_labels)
-    rank = F.xxhash64("id")
-    confirmed = known.where("y = 1").select("id").distinct().orderBy(rank, "id").limit(max_positive)
+    confirmed = _lowest(known.where("y = 1").select("id").distinct(), n_toxic, max_positive)
     text = docs.select(F.col(id_col).alias("id"), F.encode(F.col(text_col), "utf-8").alias("b")).where(
         ~held_out(F.col("id")))
     n_corpus, corpus = _document_frequencies(text.select("b"), bits)
     if not n_corpus:
         return None
-    others = text.select("id").orderBy(rank, "id").limit(max_unlabelled).distinct()
+    others = _lowest(text.select("id"), n_corpus, max_unlabelled).distinct()
     chosen = stored(confirmed.withColumn("group", F.lit(1))
                     .unionByName(others.withColumn("group", F.lit(0))), "sample-ids")
     # at most max_positive + max_unlabelled ids
     sample = text.join(F.broadcast(chosen), "id").select("group", "b")
-    got = _feature_rows(sample, bits).toPandas()
-    positive = [np.asarray(x, np.int64) for x in got.features[got.group == 1]]
-    unlabelled = [np.asarray(x, np.int64) for x in got.features[got.group == 0]]
+    got = _feature_rows(sample, bits).toArrow()
+    group, positive, unlabelled = got.column("group").to_numpy(), [], []
+    at = 0
+    for chunk in got.column("features").chunks:      # rows are views, nothing is copied
+        flat, ends = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        for a, b in zip(ends, ends[1:]):
+            (positive if group[at] == 1 else unlabelled).append(flat[a:b])
+            at += 1
     if not positive or not unlabelled:
         return None
     counts = np.bincount(np.concatenate(positive), minlength=1 << bits)
