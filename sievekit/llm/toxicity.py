@@ -4,7 +4,7 @@ Only confirmed toxic documents and documents of unknown kind are used. A
 document is the set of its words and word beginnings, hashed to ``1 <<
 HASH_BITS`` features. A feature's scale is its squared log-ratio between
 confirmed toxic documents and the corpus (document frequencies over all
-training documents), zero where it doesn't speak for toxicity. The linear
+training documents on both sides), zero where it doesn't speak for toxicity. The linear
 classifier minimises the class-prior-corrected risk
 
     prior * E_P[l(z)] + max(0, E_U[l(-z)] - prior * E_P[l(-z)])
@@ -14,10 +14,11 @@ ascended instead, which keeps the estimate from going below zero. The prior is
 the share of toxic rows among the labels learnt from.
 
 The classifier is fitted in numpy on at most ``MAX_POSITIVE`` confirmed and
-``MAX_UNLABELLED`` other documents (the lowest id hashes, so any cluster draws
-the same ones); the prior and the document frequencies cover all training
-rows. Scoring reads whole texts and nothing but the text. Nothing is shuffled
-but ids and feature counts.
+``MAX_UNLABELLED`` other documents (the lowest hashes of id and text, so any
+cluster draws the same ones; a full repeat counts once); the prior and both
+sides' document frequencies cover all training rows. Scoring reads whole texts
+and nothing but the text. Ids, text hashes and feature counts are shuffled;
+texts only where more than ``BROADCAST_IDS`` documents are confirmed.
 
 Null and empty texts have no features and get the score of the intercept.
 Without a confirmed toxic document everything scores 0. Labels with a null id
@@ -33,11 +34,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievekit.llm.common import stored
+from sievekit.llm.common import row_hash, stored
 
 HASH_BITS = 18
 MAX_POSITIVE = 4000
 MAX_UNLABELLED = 8000
+BROADCAST_IDS = 200_000         # confirmed ids up to here go to the texts, more are joined by a shuffle
 #: digits and letters; A-Z become a-z, other ASCII becomes space, the rest stays
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b > 127 else 32
                 for b in range(256))
@@ -108,15 +110,20 @@ def held_out(id_col: Column) -> Column:
 
 
 def _feature_rows(docs: DataFrame, bits: int) -> DataFrame:
-    """``group`` and the hashed ``features`` of every row."""
+    """``group`` and the hashed ``features`` of every ``no``, repeats once."""
     def run(batches):
+        seen = set()
         for batch in batches:
+            new = [i for i, no in enumerate(batch.column("no").to_pylist()) if not (no in seen or seen.add(no))]
+            batch = batch.take(pa.array(new, pa.int64()))
             rows = [features(b, bits) for b in batch.column("b").to_pylist()]
             sizes = np.cumsum([0, *map(len, rows)])
             flat = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("group"), lists], ["group", "features"])
-    return docs.mapInArrow(run, "group int, features array<int>")
+            yield pa.RecordBatch.from_arrays([batch.column("no"), batch.column("group"), lists],
+                                             ["no", "group", "features"])
+    return (docs.mapInArrow(run, "no long, group int, features array<int>")
+                .dropDuplicates(["no"]).orderBy("no").select("group", "features"))
 
 
 def _document_frequencies(docs: DataFrame, bits: int) -> tuple[int, np.ndarray]:
@@ -140,15 +147,15 @@ def _document_frequencies(docs: DataFrame, bits: int) -> tuple[int, np.ndarray]:
     return int(count[f < 0].sum()), out
 
 
-def _lowest(ids: DataFrame, n: int, most: int) -> DataFrame:
-    """The ``most`` rows with the lowest id hashes out of about ``n``. Hashes are
-    uniform, so only rows below a share somewhat above ``most`` / ``n`` are
-    sorted, however many there are."""
-    rank = F.xxhash64("id")
+def _lowest(rows: DataFrame, n: int, most: int) -> DataFrame:
+    """The ``most`` rows with the lowest hashes of id and text out of ``n``
+    different ones. Hashes are uniform, so only rows below a share somewhat above
+    ``most`` / ``n`` are sorted, however many there are."""
+    rank = F.xxhash64("id", "th")
     share = 1.2 * (most + 100) / max(1, n)
     if share < 1:
-        ids = ids.where(rank < F.lit(int(share * 2 ** 64) - 2 ** 63))
-    return ids.orderBy(rank, "id").limit(most)
+        rows = rows.where(rank < F.lit(int(share * 2 ** 64) - 2 ** 63))
+    return rows.orderBy(rank, "id", "th").limit(most)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -161,17 +168,26 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not n_toxic:
         return None
     prior = min(0.95, n_toxic / n_labels)
-    confirmed = _lowest(known.where("y = 1").select("id").distinct(), n_toxic, max_positive)
-    text = docs.select(F.col(id_col).alias("id"), F.encode(F.col(text_col), "utf-8").alias("b")).where(
-        ~held_out(F.col("id")))
+    confirmed = stored(known.where("y = 1").select("id").distinct(), "confirmed-ids")
+    raw = F.col(text_col)
+    text = docs.select(F.col(id_col).alias("id"), row_hash(F.coalesce(raw, F.lit(""))).alias("th"),
+                       F.encode(raw, "utf-8").alias("b")).where(~held_out(F.col("id")))
     n_corpus, corpus = _document_frequencies(text.select("b"), bits)
     if not n_corpus:
         return None
-    others = _lowest(text.select("id"), n_corpus, max_unlabelled).distinct()
-    chosen = stored(confirmed.withColumn("group", F.lit(1))
-                    .unionByName(others.withColumn("group", F.lit(0))), "sample-ids")
-    # at most max_positive + max_unlabelled ids
-    sample = text.join(F.broadcast(chosen), "id").select("group", "b")
+    few = confirmed.count() <= BROADCAST_IDS
+    toxic = text.join(F.broadcast(confirmed) if few else confirmed, "id", "left_semi")
+    n_positive, counts = _document_frequencies(toxic.select("b"), bits)
+    if not n_positive:
+        return None
+    different = stored(text.where("id is not null").select("id", "th").distinct()
+                       .join(confirmed.withColumn("y", F.lit(1)), "id", "left"), "document-ids")
+    n_all, n_known = different.agg(F.count(F.lit(1)), F.count("y")).first()
+    # at most max_positive + max_unlabelled rows
+    drawn = (_lowest(different.where("y = 1").select("id", "th"), n_known, max_positive).withColumn("group", F.lit(1))
+             .unionByName(_lowest(different.select("id", "th"), n_all, max_unlabelled).withColumn("group", F.lit(0))))
+    chosen = stored(drawn.withColumn("no", F.monotonically_increasing_id()), "sample-ids")
+    sample = text.join(F.broadcast(chosen), ["id", "th"]).select("no", "group", "b")
     got = _feature_rows(sample, bits).toArrow()
     group, positive, unlabelled = got.column("group").to_numpy(), [], []
     at = 0
@@ -182,8 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             at += 1
     if not positive or not unlabelled:
         return None
-    counts = np.bincount(np.concatenate(positive), minlength=1 << bits)
-    scales = feature_scales(counts, len(positive), corpus, n_corpus)
+    scales = feature_scales(counts, n_positive, corpus, n_corpus)
     return fit_nnpu(positive, unlabelled, prior, scales)
 
 

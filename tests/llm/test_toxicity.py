@@ -48,6 +48,28 @@ def test_held_out_labels_do_not_matter(spark):
     assert {r.doc_id for r in flags if r.h} == set(held)
 
 
+def test_frequencies_cover_all_rows_and_samples_are_full(spark, monkeypatch):
+    """A word in 6 of 200 confirmed documents keeps its scale though the sample
+    holds ten; repeated labels, rows and null ids take no places in the sample."""
+    rows = [(i, f"plain{i % 7} " + ("slur rare" if i % 40 == 2 else "slur" if i % 2 else "calm"), "xx", 1)
+            for i in range(480)]
+    rows += [(7, rows[7][1], "xx", 1)] * 200 + [(None, "no id", "xx", 1)] * 200
+    confirmed = [i for i in range(480) if i % 2 or i % 40 == 2]
+    labels = [(i, 1) for i in confirmed] + [(confirmed[0], 1)] * 500 + [(i, 0) for i in range(0, 480, 8)]
+    seen = {}
+    monkeypatch.setattr(X, "fit_nnpu", lambda p, u, prior, scales, **kw: seen.update(p=p, u=u, scales=scales))
+    frames = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int")
+    scales = []
+    for most in (200_000, 0):                # ids broadcast, ids joined by a shuffle
+        monkeypatch.setattr(X, "BROADCAST_IDS", most)
+        X.train(*frames, max_positive=10, max_unlabelled=20)
+        assert (len(seen["p"]), len(seen["u"])) == (10, 20)
+        scales.append(seen["scales"])
+    at = X.features(b"rare")[0]
+    assert sum(at in x for x in seen["p"]) < 2 and scales[0][at] > 0
+    assert np.array_equal(*scales)
+
+
 def test_odd_rows_and_no_labels(spark, make, odd_rows):
     df = make(odd_rows)
     none = spark.createDataFrame([], "doc_id long, toxic int")
