@@ -10,13 +10,16 @@ each tree and level), so two classes of similarity s stay together with
 probability s a level. A node of at most ``node_size`` classes is compared
 exhaustively, a larger one branches on. Unrelated documents part at the first
 level, so a linked pair is missed with probability (1 - s)^trees there (6e-9 at
-0.85), and (1 - s^d)^trees in groups that stay large down to level d.
+0.85), and (1 - s^d)^trees in groups that stay large down to level d. Branching
+for comparison therefore stops at the last level where that is at most ``miss``
+(with 10 trees d = 2 at 0.85, 3e-6); nodes still large there are compared in
+blocks, every block with every other.
 
 Groups of copies never part, and need not: only components are asked for. Every
 node links its members to its smallest class first; the confirmed links are
 contracted, and nodes all of whose classes are in one component are done.
 Exhaustive comparison is left for nodes that hold several components, and only
-between them. Nodes still large at the last level are compared in blocks.
+between them.
 
 Minwise sketches decide what is compared (agreement of ``likely`` or more, five
 standard deviations below the threshold); every link is confirmed on the full
@@ -46,6 +49,7 @@ TREES = 10
 LEVELS = 8
 STAR_LEVELS = 3                 # levels whose nodes link to their smallest class first
 NODE_SIZE = 256
+MISS = 1e-5                     # the most a linked pair may be missed with
 LIKELY = 0.65
 
 
@@ -103,6 +107,13 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, n_tokens: i
     return src.mapInArrow(run, f"id {id_type}, th long, n long, key binary, sketch array<int>")
 
 
+def compared_levels(percent: int, trees: int, levels: int, miss: float) -> int:
+    """The last level, 1 to ``levels``, at which a pair at ``percent`` shares no
+    node in any tree with probability ``miss`` at most."""
+    missed = [(1 - (percent / 100) ** d) ** trees for d in range(1, levels + 1)]
+    return max(1, sum(m <= miss for m in missed))
+
+
 def _with_nodes(rows: DataFrame, name: str) -> DataFrame:
     """Adds each node's size ``n`` and smallest class ``pivot``; nodes of one class go."""
     nodes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("pivot")).where("n > 1")
@@ -244,7 +255,7 @@ def _mixed(rows: DataFrame, comps: DataFrame) -> DataFrame:
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
                           shingle: int = SHINGLE, trees: int = TREES, levels: int = LEVELS,
-                          node_size: int = NODE_SIZE, likely: float = LIKELY) -> DataFrame:
+                          node_size: int = NODE_SIZE, likely: float = LIKELY, miss: float = MISS) -> DataFrame:
     """Per row: ``id_col``, ``th`` (text hash), ``n_shingles``,
     ``component_id`` (smallest id reachable over links, itself included)."""
     n_tokens = trees * levels
@@ -284,7 +295,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
                           ["path", "x", "y"], n_tokens, likely)
 
     found, large, depth = None, None, 0
-    while depth < len(nodes) or depth < levels and not large.isEmpty():
+    deepest = compared_levels(percent, trees, levels, miss)
+    while depth < min(len(nodes), deepest) or depth < deepest and not large.isEmpty():
         if depth == len(nodes):
             nodes.append(_with_nodes(_children(large, classes, depth, trees, levels), "nodes"))
         mixed = stored(_mixed(nodes[depth], comps), "mixed")
@@ -292,7 +304,7 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
         large = mixed.where(F.col("n") > node_size)
         depth += 1
     # still large at the last level: every block of classes with every other
-    blocks = F.ceil(F.col("n") / (node_size / 2))
+    blocks = F.ceil(F.col("n") / (2 * node_size))
     own, other = F.pmod(F.xxhash64("cid"), blocks), F.col("other")
     dealt = (large.join(marks, "cid")
                   .select("path", "cid", "comp", "sketch", own.alias("own"),
