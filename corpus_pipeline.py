@@ -12,7 +12,7 @@ columns; what each does with them stands at its function.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievekit.llm import decontaminate, line_dedup, near_dup, packing, toxicity
@@ -50,15 +50,17 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by near-duplicate texts the one with the smallest id
-    stays, one row of it if it repeats; documents without words all stay."""
-    groups = near_dup.near_duplicate_groups(docs, percent=PERCENT)
-    stay = (groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .select(F.col("doc_id").alias("_nd_id"), F.col("th").alias("_nd_k"),
-                          (F.col("n_shingles") == 0).alias("_nd_bare")).distinct())
-    keyed = docs.withColumn("_nd_th", row_hash(F.coalesce("text", F.lit(""))))
+    stays (a null id comes last), one row of it if it repeats. Unlinked texts
+    stay, also under one id or none; documents without words all stay."""
+    groups = near_dup.near_duplicate_groups(docs, percent=PERCENT).where("component is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("th"))
+    stay = (groups.groupBy("component").agg(F.min(order).alias("r"))
+                  .select(F.col("r.id").alias("_nd_id"), F.col("r.th").alias("_nd_k")))
+    text = F.coalesce("text", F.lit(""))
+    bare = F.octet_length(F.btrim(text, F.lit(line_dedup.ASCII_SPACE))) == 0
+    keyed = docs.where(~bare).withColumn("_nd_th", row_hash(text))
     kept = keyed.join(stay, F.col("doc_id").eqNullSafe(F.col("_nd_id")) & (F.col("_nd_th") == F.col("_nd_k")))
-    repeat = F.row_number().over(Window.partitionBy("doc_id", "_nd_bare").orderBy("_nd_th"))
-    return (kept.withColumn("_nd_n", repeat).where("_nd_bare or _nd_n = 1").select(*docs.columns))
+    return kept.dropDuplicates(["_nd_id", "_nd_k"]).select(*docs.columns).unionByName(docs.where(bare))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -257,7 +257,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
                           shingle: int = SHINGLE, trees: int = TREES, levels: int = LEVELS,
                           node_size: int = NODE_SIZE, likely: float = LIKELY, miss: float = MISS) -> DataFrame:
     """Per row: ``id_col``, ``th`` (text hash), ``n_shingles``,
-    ``component_id`` (smallest id reachable over links, itself included)."""
+    ``component_id`` (smallest id reachable over links, itself included),
+    ``component`` (the component's own number; null without words)."""
     n_tokens = trees * levels
     rows = stored(sketches(docs, id_col, text_col, shingle, n_tokens), "sketches")
     classes = stored(
@@ -323,7 +324,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     named = (classes.select("cid", "key", "rep").join(comps.withColumnRenamed("node", "cid"), "cid", "left")
                     .withColumn("c", F.coalesce("component", "cid")))
     least = named.groupBy("c").agg(F.min("rep").alias("component_id"))
-    by_key = named.join(least, "c").select("key", "component_id")
+    by_key = named.join(least, "c").select("key", "component_id", F.col("c").alias("component"))
     return (rows.select("id", "th", "n", "key").join(by_key, "key", "left")
                 .select(F.col("id").alias(id_col), "th", F.col("n").alias("n_shingles"),
-                        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
+                        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+                        "component"))

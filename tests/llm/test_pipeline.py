@@ -41,6 +41,13 @@ def test_near_duplicate_stage(spark, folder):
     assert got == [(1, text), (3, ""), (3, ""), (4, "other words")]
 
 
+def test_unlinked_texts_under_one_id_stay(spark, folder):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a), (1, b), (None, c), (None, d), (None, c), (None, ""), (None, ""), (7, d)]
+    got = sorted(((r.doc_id, r.text) for r in P.drop_near_duplicates(spark, docs(spark, rows), folder).collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (None, c), (7, d), (None, ""), (None, "")], key=str)
+
+
 def test_contamination_stage(spark, folder):
     rows = [(1, "so alpha beta gamma delta epsilon zeta ETA theta, iota kappa it is"), (2, "alpha beta gamma"), (3, None)]
     got = sorted(r.doc_id for r in P.drop_contaminated(spark, docs(spark, rows), folder).collect())
