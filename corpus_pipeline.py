@@ -20,6 +20,7 @@ from sievekit.llm.common import read_table, row_hash, stored
 from sievekit.llm.queries import vocabulary_path
 
 MIN_DOCS = 10
+LONG_WORDS = 50                 # a line of more words is a passage: two documents are enough
 PERCENT = 85
 
 
@@ -33,11 +34,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ``MIN_DOCS`` documents stay in the first one only;
-    ``n_chars`` follows the text. A document with nothing but such lines left
+    """Lines found in ``MIN_DOCS`` documents, and lines of over ``LONG_WORDS``
+    words found in two, stay in the first one only; ``n_chars`` follows the text. A document with nothing but such lines left
     goes; documents that lose no line, empty ones too, stay as they are (null
     texts become empty)."""
-    bitmaps = line_dedup.keep_bitmaps(docs, min_docs=MIN_DOCS, keep="first")
+    bitmaps = line_dedup.keep_bitmaps(docs, min_docs=MIN_DOCS, keep="first", long_words=LONG_WORDS)
     out = line_dedup.apply_bitmaps(docs, bitmaps)
     bare = F.octet_length(F.btrim(F.col("_ld_kept"), F.lit(line_dedup.ASCII_SPACE))) == 0
     out = (out.where(~((F.col("_ld_n_dropped") > 0) & bare))

@@ -28,7 +28,7 @@ def split_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _line_rows(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+def _line_rows(docs: DataFrame, id_col: str, text_col: str, min_chars: int, long_words: int | None) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     split = F.split(ascii_lower(text), "\n", -1)
     # the outer form: the plain one infers a filter that splits the text again
@@ -36,24 +36,30 @@ def _line_rows(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> D
                          split.alias("lines"), F.size(split).alias("n_lines"))
                  .select("id", "th", "n_lines", F.posexplode_outer("lines").alias("pos", "line")))
     key = F.btrim(F.col("line"), F.lit(ASCII_SPACE))
+    marks = []
+    if long_words is not None:               # so many words take at least 2 * long_words + 1 characters
+        words = F.size(F.split("line", r"[ \t\n\x0B\f\r]+", -1))
+        marks = [F.when(F.char_length("line") > 2 * long_words, words > long_words).otherwise(False).alias("long")]
     return (lines.withColumn("line", key)
                  .where(F.char_length("line") >= min_chars)
                  .select("id", "th", "n_lines", "pos", F.xxhash64("line").alias("h1"),
-                         F.xxhash64(F.lit(1), "line").alias("h2")))
+                         F.xxhash64(F.lit(1), "line").alias("h2"), *marks))
 
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 min_docs: int = 10, min_chars: int = 1, keep: str = "none") -> DataFrame:
+                 min_docs: int = 10, min_chars: int = 1, keep: str = "none",
+                 long_words: int | None = None, long_docs: int = 2) -> DataFrame:
     """One row per document that loses a line: ``id``, ``th`` (text hash),
     ``n_lines``, ``n_dropped``, ``keep_runs`` array<struct<start,len>>.
 
     Keys found in at least ``min_docs`` documents lose all their lines
     (``keep="none"``) or all but the first occurrence in (id, position) order
-    (``keep="first"``).
+    (``keep="first"``). With ``long_words``, lines of more words need only
+    ``long_docs`` documents.
     """
     if keep not in ("none", "first"):
         raise ValueError("keep is 'none' or 'first'")
-    rows = stored(_line_rows(docs, id_col, text_col, min_chars), "lines")
+    rows = stored(_line_rows(docs, id_col, text_col, min_chars, long_words), "lines")
     ordered = (rows.repartitionByRange("h1", "h2", "id", "th")
                    .sortWithinPartitions("h1", "h2", "id", "th", "pos"))
     in_doc = Window.partitionBy("h1", "h2", "id", "th").orderBy("pos")
@@ -61,9 +67,13 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     aggs = [F.count(F.lit(1)).alias("n_docs")]
     if keep == "first":
         aggs.append(F.min(F.struct("id", "th", "pos")).alias("first"))
+    frequent = F.col("n_docs") >= min_docs
+    if long_words is not None:
+        aggs.append(F.max("long").alias("is_long"))
+        frequent |= F.col("is_long") & (F.col("n_docs") >= long_docs)
     # written, so that the join's two sides are plain shuffles and a frequent
     # line's side can be split
-    hot = stored(firsts.groupBy("h1", "h2").agg(*aggs).where(F.col("n_docs") >= min_docs), "frequent-lines")
+    hot = stored(firsts.groupBy("h1", "h2").agg(*aggs).where(frequent), "frequent-lines")
     hit = rows.join(hot, ["h1", "h2"])
     if keep == "first":
         hit = hit.where(~F.struct("id", "th", "pos").eqNullSafe(F.col("first")))

@@ -34,6 +34,14 @@ def test_line_stage(spark, folder):
     assert 50 not in got and got[51] == ("x\n", 2) and got[52][0] == ""
 
 
+def test_long_lines_need_two_documents(spark, folder):
+    """51 words in two documents are a repeated passage, 50 are not."""
+    passage, short = " ".join(["so"] * 51), " ".join(["well"] * 50)
+    rows = [(i, f"own {i}\n{passage}\n{short}") for i in range(2)] + [(2, f"\t{passage.upper()} \nend {short}")]
+    got = {r.doc_id: r.text for r in P.drop_repeated_lines(spark, docs(spark, rows), folder).collect()}
+    assert got == {0: rows[0][1], 1: f"own 1\n{short}", 2: f"end {short}"}
+
+
 def test_near_duplicate_stage(spark, folder):
     text = " ".join(f"w{i}" for i in range(100))
     rows = [(1, text), (2, text + " more"), (2, text + " more"), (3, ""), (3, ""), (4, "other words"), (5, text), (1, text)]
