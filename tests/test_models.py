@@ -140,3 +140,22 @@ def test_experiment(spark):
     assert all(r.same for r in scored) and abs(len(scored) - 0.2 * distinct) <= 2
     metrics = {(r.model, r.metric): r.value for r in read_runs(spark, out.runs_path).collect()}
     assert metrics[out.best, "rows"] == 200 and (out.best, "predict_seconds") in metrics
+
+
+def test_search_queries_cover_the_whole_space(spark, monkeypatch):
+    """The maps that reach the cross-validation are drawn from BOOSTER_SPACE."""
+    from types import SimpleNamespace
+
+    from sievekit.plans import ml_catalog
+    tried = []
+
+    def searched(est, maps, rows):
+        tried.extend(maps)
+        return SimpleNamespace(avgMetrics=[0.5] * len(maps), stdMetrics=[0.1] * len(maps))
+
+    monkeypatch.setattr(training, "cross_validate", searched)
+    assert ml_catalog.q_m9(spark, SF0001, trials=20).count() == 20
+    values = {p.name: [m[p] for m in tried] for p in tried[0]}
+    rounds, depth = values["maxIter"], values["maxDepth"]
+    assert set(rounds) <= set(range(400, 1401, 200)) and max(rounds) > 1000
+    assert min(depth) >= 4 and max(depth) > 10
