@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievekit.llm import (capture_archive, decontaminate, html_extract, line_dedup, near_dup, packing,
-                          piecewise_hash, sharding, token_counts, toxicity)
+                          piecewise_hash, prefix_trie, sharding, structure_repair, suffix_dedup, token_counts,
+                          toxicity)
 from sievekit.llm.common import read_table, row_hash
 
 QUERIES: dict = {}
@@ -147,3 +148,22 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return piecewise_hash.neighbour_likeness(docs)
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, ids = prefix_trie.rebuilt(prefix_trie.turns(read_table(spark, sf_dir, "conversations")))
+    return prefix_trie.prefix_trie(rows, ids)
+
+
+@query
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    return structure_repair.repair(structure_repair.damage(rows), rows.select(F.col("conv_id").alias("c")))
+
+
+@query
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, length=400).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

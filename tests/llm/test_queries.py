@@ -9,7 +9,7 @@ from tools.check_oracle import TABLES, digest
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
 
 
@@ -26,7 +26,10 @@ def test_oracle_matches(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows(spark, name):
-    table = "pages" if name.startswith(("op1_", "op7_")) else "documents"
-    n = spark.read.parquet(f"{SF0001}/{table}.parquet").count()
+    if name.startswith("op11_"):
+        pytest.skip("its rows are nodes; compared in test_prefix_trie")
+    table, key = {"op1": ("pages", "page_id"), "op7": ("pages", "page_id"), "op12": ("conversations", "conv_id")}.get(
+        name.split("_")[0], ("documents", "doc_id"))
+    n = spark.read.parquet(f"{SF0001}/{table}.parquet").select(key).distinct().count()
     got = QUERIES[name](spark, SF0001)
     assert (got.select("doc_id").distinct() if name.startswith("op5_") else got).count() == n
