@@ -42,3 +42,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: words of a key sketch: 2^18 longs, whatever the table
+SKETCH_WORDS = 1 << 18
+
+
+def _slot(key: str) -> tuple[Column, Column]:
+    h = F.xxhash64(key)
+    return (F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(SKETCH_WORDS - 1)).cast("int").alias("_word"),
+            h.bitwiseAND(F.lit(63)).cast("int").alias("_bit"))
+
+
+def key_sketch(keys: DataFrame, key: str) -> DataFrame:
+    """One bit per hash of ``key``: at most ``SKETCH_WORDS`` rows, so it can be
+    broadcast at any size of ``keys``. With very many keys it lets all through."""
+    return keys.select(*_slot(key)).groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
+
+
+def in_sketch(df: DataFrame, key: str, sketch: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose ``key`` may be in the sketch (``left_anti``: surely isn't).
+    Before a join it keeps rows without a partner out of the shuffle."""
+    columns = df.columns
+    word, bit = _slot(key)
+    found = F.expr("(shiftright(_bits, _at) & 1L) = 1L")
+    keyed = df.select("*", word.alias("_at_word"), bit.alias("_at"))
+    return keyed.join(F.broadcast(sketch), (F.col("_at_word") == F.col("_word")) & found, how).select(*columns)

@@ -13,7 +13,7 @@ ranks, and a name found once is never looked at again.
    modulo 7 are sampled; two repeats, however their phrases are numbered, share
    a sampled one among any seven. Each sampled suffix is named by its first
    triple of phrases. Names that occur once are dropped.
-3. *Recursion on names.* Round anchors with a surviving triple ahead, the
+3. *Recursion on names.* At anchors with surviving triples all along, the
    suffix is named again, by the ``length - REACH + 1`` bytes that every string
    through the anchor holds (its core) and by all bytes that any of them holds
    (its hull). A core that occurs once ends the search; a hull that occurs twice
@@ -46,11 +46,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievekit.llm.common import row_hash, stored
+from sievekit.llm.common import in_sketch, key_sketch, row_hash, stored
 
 LENGTH = 400
 GRAM = 8
-REACH = 32
+REACH = 32      # a power of two
 #: difference cover modulo 7: every residue is a difference of two of them
 COVER, MODULUS = (1, 2, 4), 7
 PIECE = 1 << 18
@@ -191,18 +191,33 @@ def _flat(lists: pa.ListArray, segments: list[Segment]) -> Iterator[tuple[Segmen
         yield s, values.slice(offsets[s.doc], offsets[s.doc + 1] - offsets[s.doc])
 
 
+def self_similar(names: Names, segments: list[Segment], survivors: pa.ListArray, at: np.ndarray, length: int) -> np.ndarray:
+    """Whether a string through each anchor can repeat. Whatever its start, the
+    phrases between ``REACH`` bytes behind the anchor and ``REACH`` before the
+    least end of the string are those of its repeat too; so among any seven of
+    them one sampled triple survives."""
+    phrases, _, _ = names.anchors(segments, GRAM + REACH - 1)
+    alive = np.concatenate([q[(q >= s.base) & (q < s.base + s.size)] + (s.at - s.base) for s, q in (
+        (s, v.to_numpy().astype(np.int64)) for s, v in _flat(survivors, segments))])
+    known = np.flatnonzero(np.isin(phrases, alive))
+    number = np.arange(len(phrases))
+    after = np.r_[known, 1 << 60][np.searchsorted(known, number)]
+    lonely = np.r_[0, np.cumsum(after - number >= MODULUS)]
+    first = np.searchsorted(phrases, at + REACH - 1)
+    last = np.searchsorted(phrases, at + length - 2 * REACH - GRAM + 2, "right") - 3 - MODULUS
+    return lonely[np.maximum(last + 1, first)] == lonely[first]
+
+
 def cores_and_hulls(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with a list ``q`` of surviving samples: per anchor near one its
-    place ``p``, its strings' first and last start ``lo``, ``hi``, ``core``, ``hull``."""
+    """``docs`` with a list ``q`` of surviving samples and a ``weight``: per anchor
+    that can be in a repeat its place ``p``, its strings' first and last start
+    ``lo``, ``hi``, ``core``, ``hull`` and the weight."""
     def make(batch, data, segments, state):
         names = Names(data)
         at, lo, hi = names.anchors(segments, length)
         which, place, own = _located(segments, at)
-        near = np.concatenate([np.sort(q[(q >= s.base) & (q < s.base + s.size)]) + (s.at - s.base)
-                               for s, q in ((s, v.to_numpy().astype(np.int64)) for s, v in _flat(batch.column("q"), segments))])
-        ahead = np.r_[near, 1 << 60][np.searchsorted(near, at)]
         end = np.array([s.at + s.size for s in segments], np.int64)
-        keep = own & (ahead < np.minimum(at + length, end[which]))
+        keep = own & self_similar(names, segments, batch.column("q"), at, length)
         at, lo, hi, which, place = at[keep], lo[keep], hi[keep], which[keep], place[keep]
         begin = np.array([s.at for s in segments], np.int64)
         left, right = np.maximum(at - REACH + 1, begin[which]), np.minimum(at + length, end[which])
@@ -211,9 +226,10 @@ def cores_and_hulls(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         hull = names.of(left, right, 1) ^ (clip * np.uint64(0xC2B2AE3D27D4EB4F))
         shift = place - at
         return np.array([segments[i].doc for i in which], np.int64), [
-            *(pa.array((x + y).astype(np.int32)) for x, y in ((place, 0), (lo, shift), (hi, shift))), _long(core), _long(hull)]
+            *(pa.array((x + y).astype(np.int32)) for x, y in ((place, 0), (lo, shift), (hi, shift))), _long(core), _long(hull),
+            batch.column("weight").take(pa.array([segments[i].doc for i in which], pa.int64()))]
 
-    return _map(docs, "th long, p int, lo int, hi int, core long, hull long", make, length)
+    return _map(docs, "th long, p int, lo int, hi int, core long, hull long, weight int", make, length)
 
 
 def single_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -239,34 +255,47 @@ def single_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` (``th``, ``b``): per ``th`` the list ``ranges`` of first and last
-    starts (``lo``, ``hi``) of strings that repeat."""
+    """``docs`` (``id``, ``th``, ``b``): per ``th`` the list ``ranges`` of first
+    and last starts (``lo``, ``hi``) of strings that repeat. Equal texts repeat
+    whole; one of them stands for all, with weight two. Tables that a hot key
+    meets are stored first, so that Spark can split it."""
+    copies = stored(docs.select("id", "th", F.octet_length("b").alias("size")).where(F.col("size") >= length).groupBy("th").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("size").alias("size")).where("n > 1"), "copies")
     sample = stored(sampled_triples(docs, length), "triples")
-    twice = sample.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
-    found = sample.join(twice, "name").groupBy("th").agg(F.collect_set("q").alias("q"))
-
-    named = stored(cores_and_hulls(docs.join(found, "th"), length), "cores")
-    hulls = named.groupBy("core", "hull").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("th", "p", "lo", "hi")).alias("at"))
-    hulls = stored(hulls, "hulls")
-    cores = (hulls.groupBy("core").agg(F.sum("n").alias("total"), F.max((F.col("n") == 1).cast("int")).alias("loose"))
-                  .where("total > 1 AND loose = 1").select("core"))
+    twice = stored(sample.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name"), "twice")
+    sample = in_sketch(sample, "name", stored(key_sketch(twice, "name"), "sketch"))
+    found = stored(sample.join(twice, "name").groupBy("th").agg(F.collect_set("q").alias("q"))
+                         .join(copies.select("th", "n", "least"), "th", "left")
+                         .select("th", "q", "least", F.when(F.col("n") > 1, 2).otherwise(1).alias("weight")), "found")
+
+    one = in_sketch(docs, "th", stored(key_sketch(found, "th"), "sketch")).join(found, "th").where("weight = 1 OR id <=> least").drop("id", "least")
+    named = stored(cores_and_hulls(one, length), "cores")
+    hulls = stored(named.groupBy("core", "hull").agg(F.sum("weight").alias("n"), F.min(F.struct("th", "p", "lo", "hi")).alias("at")),
+                   "hulls")
+    cores = stored(hulls.groupBy("core").agg(F.sum("n").alias("total"), F.max((F.col("n") == 1).cast("int")).alias("loose"))
+                        .where("total > 1 AND loose = 1").select("core"), "mixed")
     ends = hulls.join(cores, "core").select("at.th", F.when(F.col("n") == 1, F.struct(
         "at.lo", "at.hi", F.lit(1).alias("weight"))).otherwise(F.struct(
             F.greatest(F.col("at.p") - REACH + 1, F.lit(0)).alias("lo"), F.col("at.p").alias("hi"), F.lit(2).alias("weight"))).alias("a"))
-    ends = ends.groupBy("th").agg(F.collect_set("a").alias("a"))
+    ends = stored(ends.groupBy("th").agg(F.collect_set("a").alias("a")), "ends")
 
-    single = stored(single_strings(docs.join(ends, "th"), length), "strings")
-    again = single.groupBy("k1", "k2").agg(F.sum("weight").alias("n")).where("n > 1").select("k1", "k2")
+    some = in_sketch(docs, "th", stored(key_sketch(ends, "th"), "sketch"))
+    single = stored(single_strings(some.join(ends, "th"), length), "strings")
+    again = stored(single.groupBy("k1", "k2").agg(F.sum("weight").alias("n"), F.min("weight").alias("least"))
+                         .where("n > 1 AND least = 1").select("k1", "k2"), "again")
     edges = single.where("weight = 1").join(again, ["k1", "k2"]).select(
         "th", F.struct(F.col("start").alias("lo"), F.col("start").alias("hi")).alias("range"))
-    whole = named.join(hulls.where("n > 1").select("core", "hull"), ["core", "hull"]).select(
+    whole = named.where("weight = 1").join(hulls.where("n > 1").select("core", "hull"), ["core", "hull"]).select(
         "th", F.struct("lo", "hi").alias("range"))
-    return whole.unionByName(edges).groupBy("th").agg(F.collect_set("range").alias("ranges"))
+    equal = copies.select("th", F.struct(F.lit(0).alias("lo"), (F.col("size") - length).alias("hi")).alias("range"))
+    return whole.unionByName(edges).unionByName(equal).groupBy("th").agg(F.collect_set("range").alias("ranges"))
 
 
 def removed_spans(lo: np.ndarray, hi: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of bytes covered by strings whose starts lie in the ranges."""
     order = np.argsort(lo, kind="stable")
+    if not len(order):
+        return order, order
     begin, end = lo[order], np.maximum.accumulate(hi[order] + length)
     new = np.r_[True, begin[1:] > end[:-1]]
     return begin[new], end[np.r_[np.flatnonzero(new)[1:] - 1, len(end) - 1]]
@@ -277,7 +306,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     and the bytes that stay, ``kept``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), row_hash(text).alias("th"), F.encode(text, "utf-8").alias("b"))
-    ranges = stored(repeated_ranges(keyed.select("th", "b"), length), "ranges")
+    ranges = stored(repeated_ranges(keyed, length), "ranges")
     id_type = keyed.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -285,18 +314,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             lists, out = batch.column("ranges"), []
             offsets, lo, hi = lists.offsets.to_numpy(), *(lists.values.field(n).to_numpy().astype(np.int64) for n in ("lo", "hi"))
             for i, text in enumerate(batch.column("b").to_pylist()):
-                a, b = offsets[i], offsets[i + 1]
-                begin, end = removed_spans(lo[a:b], hi[a:b], length)
+                begin, end = removed_spans(lo[offsets[i]:offsets[i + 1]], hi[offsets[i]:offsets[i + 1]], length)
                 kept = b"".join(text[x:y] for x, y in zip([0, *end.tolist()], [*begin.tolist(), len(text)]))
                 out.append((len(text), len(text) - len(kept), len(begin), kept))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), *(pa.array([r[j] for r in out], t) for j, t in enumerate(
                     (pa.int64(), pa.int64(), pa.int64(), pa.binary())))], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = keyed.join(ranges, "th", "left")
-    cut = joined.where("ranges is not null").select("id", "b", "ranges").mapInArrow(
-        run, f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary")
+    sketch = stored(key_sketch(ranges, "th"), "sketch")
+    cut = (in_sketch(keyed, "th", sketch).join(ranges, "th", "left")
+           .select("id", "b", F.coalesce("ranges", F.array().cast(ranges.schema["ranges"].dataType)).alias("ranges"))
+           .mapInArrow(run, f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary"))
     zero = F.lit(0).cast("long")
-    same = joined.where("ranges is null").select("id", F.octet_length("b").cast("long").alias("n_bytes"),
-                                                 zero.alias("n_removed"), zero.alias("n_spans"), F.col("b").alias("kept"))
+    same = in_sketch(keyed, "th", sketch, "left_anti").select(
+        "id", F.octet_length("b").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.col("b").alias("kept"))
     return same.unionByName(cut).withColumnRenamed("id", id_col)
