@@ -17,7 +17,10 @@ row is packed, repeats included. ``sequence_id`` is unique, not consecutive.
 
 from __future__ import annotations
 
+import gc
 import heapq
+import json
+import re
 import sys
 import zlib
 
@@ -32,8 +35,10 @@ CAPACITY = 2048
 MAX_PIECE = 1024
 LEAST_PIECE = 64
 BLOCK_WINDOWS = 128
-#: words whose ids a Python worker remembers
-REMEMBERED_WORDS = 700_000
+#: words, and units of words, whose ids a Python worker remembers, twice
+REMEMBERED_WORDS = 500_000
+#: text whose unknown words are encoded together
+SLICE_BYTES = 1 << 21
 
 
 def balanced_windows(sizes: np.ndarray, k: int) -> np.ndarray:
@@ -107,21 +112,84 @@ def cut(n_tokens: int, capacity: int = CAPACITY, max_piece: int = MAX_PIECE,
     return out
 
 
+# The word borders of the tokeniser's specification, and the same borders for words of
+# ASCII and precomposed Latin letters in lower case.
+BORDERS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LETTERS = "a-z\u00df-\u00f6\u00f8-\u024f"
+UNITS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
+PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+
+
 class WordIds(dict):
-    """Ids of white-space-separated words as little-endian bytes. Word-level
-    tokenisers treat these words independently, so a text's ids are its words'
-    ids in order; frequent words are tokenised once per worker."""
+    """Ids of white-space-separated words as little-endian bytes. Tokenisers
+    that drop white space treat words independently, so a text's ids are its
+    words' ids in order. A slice's unknown words are cut at the tokeniser's own
+    borders and their new units encoded together, each once; a unit ends with
+    the one token that has the end-of-word suffix."""
 
     def __init__(self, spec: str, most: int):
         super().__init__()
         from tokenizers import Tokenizer
-        self.encode, self.most = Tokenizer.from_str(spec).encode, most
+        self.tokenizer, self.most = Tokenizer.from_str(spec), most
+        self.units, self.older, self.older_units = {}, {}, {}
+        told = json.loads(spec)
+        steps = told.get("pre_tokenizer") or {}
+        first = (steps.get("pretokenizers") or [steps])[0]
+        pattern = first.get("pattern", {}).get("Regex", "")
+        removed = (first.get("type"), first.get("behavior"), first.get("invert")) == ("Split", "Removed", True)
+        if not (first.get("type") in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer") or removed and "\\s" in pattern):
+            raise ValueError("the tokeniser must drop white space and keep words apart")
+        suffix = told["model"].get("end_of_word_suffix")
+        lower = any(n.get("type") == "Lowercase" for n in (told.get("normalizer") or {}).get("normalizers", []))
+        self.cuts = bool(removed and pattern == BORDERS and suffix and lower)
+        self.marks = tuple(t["content"].encode() for t in told.get("added_tokens", []))
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if self.cuts:
+            self.ends[[i for token, i in self.tokenizer.get_vocab(False).items() if token.endswith(suffix)]] = True
+
+    def split(self, raw: bytes) -> list[bytes]:
+        """Words of a text; ASCII case is dropped where the tokeniser does so anyway."""
+        plain = self.cuts and not any(m[:2] in raw for m in self.marks)
+        return (raw.lower() if plain else raw).split()
+
+    def _encode(self, units: list[str]):
+        for i in range(0, len(units), 4096):
+            part = units[i:i + 4096]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) == len(part):
+                data, at = ids.tobytes(), [0, *(4 * last).tolist()]
+                self.units.update((u, data[x:y]) for u, x, y in zip(part, at, at[1:]))
+            else:
+                self.units.update((u, self._whole(u)) for u in part)
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) < self.most and len(word) <= 64:
-            self[word] = ids
-        return ids
+    def learn(self, texts: list[list[bytes]]):
+        """Makes the words of ``texts`` known. When the memo is full it becomes
+        the older one; what is met again moves back, the rest goes next time."""
+        for memo, older in ((self, self.older), (self.units, self.older_units)):
+            if len(memo) > self.most:
+                older.clear()
+                older.update(memo)
+                memo.clear()
+        new = set().union(*texts).difference(self)
+        self.update((w, self.older[w]) for w in new.intersection(self.older))
+        new = list(new.difference(self.older))
+        words = list(map(bytes.decode, new))
+        if self.cuts:
+            marked = {w for m in self.marks for w in words if m[:2].decode() in w}
+            whole = [w in marked or not p for w, p in zip(words, map(PLAIN.fullmatch, words))]
+        else:
+            whole = [True] * len(words)
+        cut = [(b, w.lower()) for b, w, x in zip(new, words, whole) if not x]
+        units = list(map(UNITS.findall, (w for _, w in cut)))
+        unknown = set().union(*units).difference(self.units)
+        self.units.update((u, self.older_units[u]) for u in unknown.intersection(self.older_units))
+        self._encode(list(unknown.difference(self.older_units)))
+        self.update((b, w) for (b, _), w in zip(cut, map(b"".join, (map(self.units.__getitem__, u) for u in units))))
+        self.update((b, self._whole(w)) for b, w, x in zip(new, words, whole) if x)
 
 
 def worker_memo(key, make):
@@ -132,6 +200,21 @@ def worker_memo(key, make):
     return memo[key]
 
 
+def known_words(words: WordIds, texts: list[bytes]):
+    """The words of each text, known to ``words`` when they are returned."""
+    slice_, size = [], 0
+    for text in [*texts, None]:
+        if slice_ and (text is None or size + len(text) > SLICE_BYTES):
+            gc.disable()                    # a million small objects without cycles
+            words.learn(slice_)
+            gc.enable()
+            yield from slice_
+            slice_, size = [], 0
+        if text is not None:
+            slice_.append(words.split(text))
+            size += len(text)
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id",
            text_col: str = "text", capacity: int = CAPACITY, max_piece: int = MAX_PIECE,
            least_piece: int = LEAST_PIECE) -> DataFrame:
@@ -152,8 +235,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str =
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             row, out = [], []
-            for i, raw in enumerate(batch.column("b").to_pylist()):
-                ids = memoryview(b"".join(map(words.__getitem__, raw.split())) + end)
+            for i, split in enumerate(known_words(words, batch.column("b").to_pylist())):
+                ids = memoryview(b"".join(map(words.__getitem__, split)) + end)
                 n = len(ids) // 4
                 for start, length in cut(n, capacity, max_piece, least_piece):
                     row.append(i)
