@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from sievekit.functions.vectors import argmax_first
 from sievekit.operators import evaluation, splitting
 from sievekit.operators.selection import fit_robust_scaler
-from sievekit.plans import scoring, training
+from sievekit.plans import scoring, softmax_boost, training
 from sievekit.plans.catalog import model1, x1_sql
 from sievekit.plans.stages import SoftVote, as_array
 from sievekit.session import work_dir
@@ -138,6 +138,35 @@ def q_m5(spark, d):
         "stopped_early", F.lit(trees < 2000))
 
 
+@register("m4_softmax_12_rounds", holdout_sql(SOUND + ", true AS loss_falls"))
+def q_m4s(spark, d, rounds: int = 12, depth: int = 3):
+    """Boosting on the softmax objective; whether the log-loss on the training
+    rows falls in every round."""
+    train, test, lm = prepared(spark, d)
+    model, _ = softmax_boost.fit_softmax(train, len(lm.labels), "vec_id", rounds=rounds, depth=depth)
+    losses = model.prefix_log_loss(train, "label_idx")
+    falls = len(losses) == rounds + 1 and all(b < a for a, b in zip(losses, losses[1:]))
+    scored = model.transform(test)
+    index, _ = argmax_first("probability_arr")
+    return sound(scored.withColumn("_i", index), lm, "probability_arr", "_i").withColumn("loss_falls", F.lit(falls))
+
+
+@register("m5_patience_of_4", holdout_sql(SOUND + ", true AS best_prefix"))
+def q_m5p(spark, d, rounds: int = 100, depth: int = 3, patience: int = 4):
+    """Softmax boosting stopped by patience on the validation log-loss; whether
+    the ensemble ends at the round with the least loss of all that were run."""
+    train, test, lm = prepared(spark, d)
+    inner = splitting.stratified_holdout(train, "label", "vec_id", 0.2, 7, "part").withColumn("is_val", F.col("part") == "test")
+    model, losses = softmax_boost.fit_softmax(inner, len(lm.labels), "vec_id", validation_col="is_val", rounds=rounds,
+                                              depth=depth, patience=patience)
+    kept = len(model.rounds())
+    again = model.prefix_log_loss(inner.where("is_val"), "label_idx")
+    best = losses[kept] == min(losses) and all(abs(a - b) < 1e-5 for a, b in zip(again, losses))
+    scored = model.transform(test)
+    index, _ = argmax_first("probability_arr")
+    return sound(scored.withColumn("_i", index), lm, "probability_arr", "_i").withColumn("best_prefix", F.lit(best))
+
+
 @register("m6_extra_trees", holdout_sql(SOUND))
 def q_m6(spark, d):
     train, test, lm = prepared(spark, d)
