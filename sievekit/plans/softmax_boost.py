@@ -286,6 +286,42 @@ class _Fit:
                 break
         return trees, loss
 
+    def advance(self, rounds: int):
+        """Goes on by ``rounds``, from the margins there are."""
+        for number in range(len(self.done) + len(self.since), len(self.done) + len(self.since) + rounds):
+            self.since = [*self.since, self.round(number)[0]]
+            if len(self.since) >= STORE_EVERY:
+                self._store()
+
+    def validation(self) -> dict[str, float]:
+        """Log-loss and weighted F1 of the validation rows, one pass; one K x K table of sums per task."""
+        f, k, since = self.f, self.k, self.since
+
+        def sums(batches):
+            table, loss = np.zeros((k, k), np.int64), 0
+            for b in batches:
+                bins, margins, y, val = _rows(b, f, k)
+                bins, margins, y = bins[val], margins[val], y[val]
+                _add(margins, bins, since)
+                p = softmax(margins)
+                loss += int(np.rint(-np.log(np.maximum(p[np.arange(len(y)), y], 1e-15)) * UNIT).sum())
+                np.add.at(table, (y, p.argmax(1)), 1)
+            cells = np.argwhere(table)
+            yield pa.RecordBatch.from_pydict({"y": pa.array([*cells[:, 0], -1], pa.int32()), "p": pa.array([*cells[:, 1], -1], pa.int32()),
+                                              "n": pa.array([*table[tuple(cells.T)], loss], pa.int64())})
+
+        found = self.table.mapInArrow(sums, "y int, p int, n long").groupBy("y", "p").agg(F.sum("n").alias("n")).collect()
+        table, loss = np.zeros((k, k)), 0
+        for r in found:
+            if r.y < 0:
+                loss = r.n
+            else:
+                table[r.y, r.p] = r.n
+        support, hit = table.sum(1), np.diag(table)
+        f1 = 2 * hit / np.maximum(support + table.sum(0), 1)
+        n = max(support.sum(), 1)
+        return {"log_loss": float(loss / UNIT / n), "weighted_f1": float((f1 * support).sum() / n)}
+
     def run(self, watch: bool) -> tuple[list[list[Tree]], list[float]]:
         """All rounds' trees, and the validation log-loss before each and after the last one run."""
         s, losses, best = self.s, [], 0
