@@ -41,6 +41,7 @@ from sievekit.session import work_dir
 FILE_BYTES = 256 << 20          # an archive file is closed beyond this size
 BLOCK_LINES = 1000
 READ_BYTES = 8 << 20            # record ranges are read together up to this size
+TASK_BYTES = 128 << 20          # of archives or index blocks that a task reads back
 GZIP_LEVEL = 4
 
 
@@ -209,6 +210,11 @@ def write_index(spark: SparkSession, records: DataFrame, folder: str, block_line
     return stored(lines.mapInArrow(run, schema), "index-files")
 
 
+def _tasks(df: DataFrame, size: int) -> int:
+    """Tasks for reading ``size`` bytes of files: the rows that name them are too slim to tell."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+
+
 def lookup(captures: DataFrame, index_files: DataFrame, folder: str) -> DataFrame:
     """Places (``file``, ``at``, ``size``) of the captures asked for by ``url``
     and ``id``; a capture asked for n times is found once, one archived n times
@@ -225,8 +231,9 @@ def lookup(captures: DataFrame, index_files: DataFrame, folder: str) -> DataFram
                 [pa.array([url_key(u) for u in batch.column("url").to_pylist()], pa.string()), batch.column("id")],
                 ["key", "id"])
 
+    tasks = _tasks(captures, sum(f[3] for f in files))
     asked = (asked.mapInArrow(keyed, "key string, id string").distinct()
-                  .repartitionByRange("key", "id").sortWithinPartitions("key", "id"))
+                  .repartitionByRange(tasks, "key", "id").sortWithinPartitions("key", "id"))
 
     def run(batches):
         fs, path = _filesystem(where)
@@ -272,7 +279,9 @@ def fetch(places: DataFrame, folder: str, payloads: bool = True, read_bytes: int
     """Reads the records at the places: ids as text, headers, and the payload
     (null for revisits, or if not asked for). Payload digests are checked."""
     where = _uri(folder)
-    ordered = places.repartitionByRange("file", "at").sortWithinPartitions("file", "at")
+    places = stored(places, "places")
+    tasks = _tasks(places, places.agg(F.sum("size")).first()[0] or 0)
+    ordered = places.repartitionByRange(tasks, "file", "at").sortWithinPartitions("file", "at")
 
     def run(batches):
         fs, path = _filesystem(where)

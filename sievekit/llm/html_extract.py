@@ -19,6 +19,7 @@ gives one output row; nothing is shuffled.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -36,7 +37,7 @@ BLOCK = frozenset(
 SPACING = frozenset("br td th".split())
 CLOSES_P = BLOCK - frozenset("body html".split())
 SKIP_TAG = frozenset(
-    "aside audio button canvas dialog footer form head iframe input math menu nav noembed noframes "
+    "aside audio button canvas dialog footer form head iframe input menu nav noembed noframes "
     "noscript object option script search select style svg template textarea title video".split())
 SKIP_WORD = frozenset(
     "ad ads adsbygoogle advert adverts advertisement advertising advertorial aside banner breadcrumb "
@@ -53,12 +54,18 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class PageLines(HTMLParser):
-    """Collects (text, tags, skipped, holders) lines; ``holders`` are the ids
-    of the open block elements, outermost first."""
+    """Collects (text, tags, skipped, holder) lines; ``holder`` is the innermost
+    open block element (0: none) and ``parent`` gives the block element around
+    each, so a page costs time and memory in proportion to its size, however
+    deep it nests."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, bool, int]] = []
+        self.parent = [0]                               # by element id; block elements only
+        self.blocks = [0]                               # open block elements
+        self.count: Counter[str] = Counter()            # open elements by tag
+        self.barred = 0                                 # open boilerplate other than forms
         self.open: list[tuple[str, int, bool, bool]] = []   # tag, element id, skipped, itself boilerplate
         self.primary: set[int] = set()                  # article and main elements
         self.inside_primary = 0
@@ -71,8 +78,7 @@ class PageLines(HTMLParser):
         self._text.clear()
         if text:
             skipped = bool(self.open) and self.open[-1][2]
-            holders = tuple(e for t, e, _, _ in self.open if t in BLOCK)
-            self.lines.append((text, self._tags, skipped, holders))
+            self.lines.append((text, self._tags, skipped, self.blocks[-1]))
             self._tags = 0
 
     def _boilerplate(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -104,10 +110,16 @@ class PageLines(HTMLParser):
 
     def _close(self, at: int) -> None:
         self._flush()
-        for _, element, _, _ in self.open[at:]:
-            if element in self.primary:
-                self.inside_primary -= 1
-        del self.open[at:]
+        while len(self.open) > at:
+            self._drop(len(self.open) - 1)
+
+    def _drop(self, at: int) -> None:
+        tag, element, _, own = self.open.pop(at)
+        self.count[tag] -= 1
+        self.barred -= own and tag != "form"
+        self.inside_primary -= element in self.primary
+        if tag in BLOCK:
+            self.blocks.pop()
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
@@ -126,7 +138,7 @@ class PageLines(HTMLParser):
         if tag in VOID:
             return
         outer = bool(self.open) and self.open[-1][2]
-        if outer and tag in ("article", "main") and all(name == "form" or not own for name, _, _, own in self.open):
+        if outer and tag in ("article", "main") and not self.barred:
             outer = False           # a form around the whole page, not in it
         own = self._boilerplate(tag, attrs)
         skipped = outer or own
@@ -134,6 +146,11 @@ class PageLines(HTMLParser):
             self._flush()
         self._next += 1
         self.open.append((tag, self._next, skipped, own))
+        self.count[tag] += 1
+        self.barred += own and tag != "form"
+        self.parent.append(self.blocks[-1])
+        if tag in BLOCK:
+            self.blocks.append(self._next)
         if tag in ("article", "main"):
             self.primary.add(self._next)
             self.inside_primary += 1
@@ -154,6 +171,8 @@ class PageLines(HTMLParser):
             self._flush()
         elif tag in SPACING:
             self._text.append(" ")
+        if not self.count[tag]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             name, _, skipped, _ = self.open[i]
             if name == tag:
@@ -162,9 +181,7 @@ class PageLines(HTMLParser):
                 if tag in BLOCK or skipped:
                     self._close(i)
                 else:               # an inline end tag leaves blocks opened after it alone
-                    _, element, _, _ = self.open.pop(i)
-                    if element in self.primary:
-                        self.inside_primary -= 1
+                    self._drop(i)
                 return
 
     def handle_data(self, data):
@@ -213,21 +230,28 @@ def main_text(html: str | None, sigma: float = 1.0, share: float = 0.5, cover: f
         return ""
     content = content_lines([0 if s else len(t) for t, _, s, _ in lines], [n for _, n, _, _ in lines],
                             sigma, share)
-    votes: dict[int, int] = {}
+    own = [0] * len(page.parent)            # votes by element, then summed from the innermost out
+    held = bytearray(len(page.parent))      # holds a usable line
     total = 0
     for i in usable:
+        held[lines[i][3]] = 1
         if content[i]:
             total += len(lines[i][0])
-            for e in lines[i][3]:
-                votes[e] = votes.get(e, 0) + len(lines[i][0])
-    chosen = {e for e in page.primary if votes.get(e)}
+            own[lines[i][3]] += len(lines[i][0])
+    for e in range(len(own) - 1, 0, -1):
+        own[page.parent[e]] += own[e]
+        held[page.parent[e]] |= held[e]
+    chosen = {e for e in page.primary if own[e]}
     if not chosen:
-        chosen = {e for i in usable for e in lines[i][3] if e in page.primary}
-    if not chosen and votes:
+        chosen = {e for e in page.primary if held[e]}
+    if not chosen and total:
         # the innermost element that holds nearly all content text
-        best = [e for e, v in votes.items() if v >= cover * total]
-        chosen = {max(best)} if best else set()
-    keep = [lines[i][0] for i in usable if not chosen or not chosen.isdisjoint(lines[i][3])]
+        best = max((e for e in range(1, len(own)) if own[e] >= cover * total), default=0)
+        chosen = {best} if best else set()
+    inside = bytearray(len(page.parent))    # in a chosen element
+    for e in range(1, len(inside)):
+        inside[e] = e in chosen or inside[page.parent[e]]
+    keep = [lines[i][0] for i in usable if not chosen or inside[lines[i][3]]]
     return "\n\n".join(keep)
 
 

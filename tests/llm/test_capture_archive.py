@@ -2,6 +2,8 @@ import base64
 import gzip
 import hashlib
 
+from pyspark.sql import functions as F
+
 from sievekit.llm import capture_archive as C
 from sievekit.session import work_dir
 
@@ -68,3 +70,16 @@ def test_record_and_keys():
     assert C.url_key("http://www.Example.com:80/A/b?q=1#f") == "com,example)/a/b?q=1"
     assert C.url_key("https://m.example.com:8443") == "com,example,m:8443)/"
     assert C.url_key(None) == ""
+
+
+def test_read_back_is_dealt_by_bytes(spark, monkeypatch):
+    """As many tasks as units of bytes, however slim the rows that name them are."""
+    rows = [(i, f"http://s{i}.org/", "p" * 50 + "".join(chr(97 + (i * j) % 26) for j in range(3000))) for i in range(120)]
+    monkeypatch.setattr(C, "TASK_BYTES", 10_000)
+    folder = work_dir(spark, "captures")
+    table = pages(spark, rows)
+    files = C.write_index(spark, C.write_archive(table, folder, "page_id", "url", "html", 0), folder)
+    got = C.fetch(C.lookup(table.select("url", F.col("page_id").alias("id")), files, folder), folder)
+    assert got.rdd.getNumPartitions() > 8
+    assert sorted(int(r.uid) for r in got.collect()) == list(range(120))
+    assert sum(n > 0 for n in got.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect()) > 8

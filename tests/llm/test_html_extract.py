@@ -55,3 +55,21 @@ def test_form_around_the_page_is_no_form_in_it():
     assert H.main_text(html) == "T\n\nBody text."
     nested = "<form><nav><article><p>teaser</p></article></nav></form><article><p>kept</p></article>"
     assert H.main_text(nested) == "kept"
+
+
+def test_deep_nesting_is_linear():
+    import time
+    import tracemalloc
+    begin = time.perf_counter()
+    assert H.main_text("<article>" + "<div>a" * 100_000).count("a") == 100_000
+    H.main_text("<div>a" * 100_000 + "</span>" * 100_000)
+    assert time.perf_counter() - begin < 20
+    tracemalloc.start()
+    H.page_lines("<div>a" * 50_000)
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+
+
+def test_formula_in_an_article_stays():
+    page = "<article><p>The sum <math><mi>a</mi> + <mi>b</mi></math> is used below, as said before.</p></article>"
+    assert H.main_text(page) == "The sum a + b is used below, as said before."
