@@ -74,7 +74,7 @@ def test_record_and_keys():
 
 def test_read_back_is_dealt_by_bytes(spark, monkeypatch):
     """As many tasks as units of bytes, however slim the rows that name them are."""
-    rows = [(i, f"http://s{i}.org/", "p" * 50 + "".join(chr(97 + (i * j) % 26) for j in range(3000))) for i in range(120)]
+    rows = [(i, f"http://s{i}.org/", "".join(hashlib.sha256(f"{i}/{j}".encode()).hexdigest() for j in range(40))) for i in range(120)]
     monkeypatch.setattr(C, "TASK_BYTES", 10_000)
     folder = work_dir(spark, "captures")
     table = pages(spark, rows)
