@@ -1,16 +1,16 @@
 """Balanced shards of atomic groups by minimax contiguous partition.
 
-Rows with equal texts form a group that stays together; groups are ordered by
-the hash of their text. The smallest capacity for which a greedy left-to-right
+Rows with equal texts form a group that stays together. The order of the groups:
+first those larger than a shard's fair share, fewer than there are shards, by
+falling size; then the others by the hash of their text. The smallest capacity for which a greedy left-to-right
 fill needs no more than the wanted shards is found by binary search, and the
 order is cut there. The driver never sees the groups: it holds sums over hash
 prefixes, finds in which prefixes a cut can still lie, and splits only those,
 until each holds one group; a few thousand sums a round, at any input size. The
 result is exactly the minimax partition of the ordered groups.
 
-A group larger than its fair share has a shard of its own, which leaves the
-rest to be balanced among the others. Among all cuts that keep the optimal
-capacity those nearest to even shares are taken, so no shard is left short.
+Among all cuts that keep the optimal capacity those nearest to even shares are
+taken, so no shard is left short.
 
 Null and empty texts are one group of rows without bytes. Fewer groups than
 shards leave shards empty. An empty table gives an empty result. Rows that
@@ -80,7 +80,7 @@ class Prefixes:
             earliest.append(at)
         out, at = [], 0
         for j in range(1, parts):
-            low = max(at, earliest[parts - j])
+            low = max(min(at + 1, n), earliest[parts - j])      # no empty shard while there are groups
             high = bisect_right(self.cum, self.cum[at] + most) - 1
             want = self.cum[at] + (total - self.cum[at]) / (parts - j + 1)
             near = bisect_left(self.cum, want)
@@ -97,23 +97,20 @@ def _sums(groups: DataFrame, bits: int) -> list[tuple]:
     return [(r.p << (64 - bits), int(r["size"]), r.n, bits) for r in rows.collect()]
 
 
-def plan(groups: DataFrame, shards: int) -> tuple[list[int], list[int]]:
-    """``groups`` has ``g`` (long key) and ``size``. Returns the keys of groups
-    with a shard of their own, and the ascending first keys of all but the
-    first of the other shards."""
+def plan(groups: DataFrame, shards: int) -> tuple[dict[int, int], int, list[int]]:
+    """``groups`` has ``g`` (long key) and ``size``. Returns the shard of each
+    group larger than the fair share, and the others' first shard and the
+    ascending first keys of the shards after it."""
     total = groups.agg(F.sum("size")).first()[0]
     if not total:
-        return [], []
-    total, parts, alone = int(total), shards, []
-    for r in groups.orderBy(F.desc("size"), "g").limit(shards).collect():
-        if parts > 1 and int(r["size"]) * parts > total:
-            alone.append(r.g)
-            total, parts = total - int(r["size"]), parts - 1
-        else:
-            break
-    rest = groups.where(~F.col("g").isin(alone)) if alone else groups
-    order = Prefixes(_sums(rest, FIRST_BITS))
-    while todo := order.undecided(parts):
+        return {}, 0, []
+    large = [(r.g, int(r["size"])) for r in groups.orderBy(F.desc("size"), "g").limit(shards).collect()
+             if int(r["size"]) * shards > int(total)]
+    rest = groups.where(~F.col("g").isin([g for g, _ in large])) if large else groups
+    # keys below those of any hash put the large ones first
+    first = [(i - len(large) - (1 << 63), size, 1, 64) for i, (_, size) in enumerate(large)]
+    order = Prefixes(first + _sums(rest, FIRST_BITS))
+    while todo := order.undecided(shards):
         out = set(todo)
         fresh = []
         for bits in sorted({a[3] for a in todo}):
@@ -121,9 +118,10 @@ def plan(groups: DataFrame, shards: int) -> tuple[list[int], list[int]]:
             inside = rest.where(F.shiftright("g", 64 - bits).isin(prefixes))
             fresh += _sums(inside, min(64, bits + MORE_BITS))
         order = Prefixes([a for a in order.atoms if a not in out] + fresh)
-    keys = [a[0] for a in order.atoms]
-    end = (1 << 63) - 1
-    return alone, [keys[i] if i < len(keys) else end for i in order.cuts(parts)]
+    cuts, n, end = order.cuts(shards), len(large), (1 << 63) - 1
+    keys = [a[0] for a in order.atoms] + [end]
+    return ({g: sum(c <= i for c in cuts) for i, (g, _) in enumerate(large)}, sum(c <= n for c in cuts),
+            [keys[c] for c in cuts if c > n])
 
 
 def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text",
@@ -134,10 +132,10 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
                               (F.octet_length(text) + row_bytes).cast("long").alias("size"),
                               F.crc32(text.cast("binary")).alias("crc"), F.xxhash64(text).alias("g")), "sized")
     groups = stored(rows.groupBy("g").agg(F.sum("size").alias("size")), "groups")
-    alone, cuts = plan(groups, shards)
-    number = sum([(F.col("g") >= c).cast("int") for c in cuts], F.lit(0))
-    for i, key in enumerate(alone):
-        number = F.when(F.col("g") == key, len(cuts) + 1 + i).otherwise(number)
+    large, least, cuts = plan(groups, shards)
+    number = sum([(F.col("g") >= c).cast("int") for c in cuts], F.lit(least))
+    for key, own in large.items():
+        number = F.when(F.col("g") == key, own).otherwise(number)
     placed = (rows.withColumn("shard", number.cast("int"))
                   .withColumn("bucket", F.pmod(F.xxhash64("id", "g"), F.lit(SLOT_BUCKETS)).cast("int")))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -34,17 +34,35 @@ def test_smallest_capacity_and_cuts(seed):
 def test_prefixes_lead_to_the_groups_optimum(spark):
     rng = random.Random(9)
     rows = [(rng.getrandbits(64) - (1 << 63), rng.randint(1, 400)) for _ in range(20_000)]
-    alone, cuts = S.plan(spark.createDataFrame(rows, "g long, size long"), 24)
+    large, least, cuts = S.plan(spark.createDataFrame(rows, "g long, size long"), 24)
     rows.sort()
     totals = [0] * 24
     for g, s in rows:
         totals[sum(g >= c for c in cuts)] += s
     low, high = -(-sum(s for _, s in rows) // 24), sum(s for _, s in rows)
     order = S.Prefixes([(g, s, 1, 64) for g, s in rows])
-    assert not alone and max(totals) == order.capacity(24) and low <= max(totals) < high
+    assert not large and not least and max(totals) == order.capacity(24) and low <= max(totals) < high
     assert min(totals) > 0.97 * max(totals)
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_one_search_over_the_documented_order(spark, seed):
+    """Large groups first by falling size, then the others by hash: the smallest capacity of exactly that order."""
+    rng = random.Random(seed)
+    rows = [(rng.getrandbits(64) - (1 << 63), rng.randint(1, 40)) for _ in range(rng.randint(4, 300))]
+    rows += [(rng.getrandbits(64) - (1 << 63), rng.choice([400, 400, 900, 3000])) for _ in range(seed)]
+    shards = rng.randint(2, 7)
+    large, least, cuts = S.plan(spark.createDataFrame(rows, "g long, size long"), shards)
+    total = sum(s for _, s in rows)
+    order = sorted((r for r in rows if r[1] * shards > total), key=lambda r: (-r[1], r[0])) + sorted(
+        r for r in rows if r[1] * shards <= total)
+    place = [large[g] if g in large else least + sum(g >= c for c in cuts) for g, _ in order]
+    assert place == sorted(place) and set(place) <= set(range(shards))         # contiguous
+    totals = [sum(s for (_, s), p in zip(order, place) if p == k) for k in range(shards)]
+    assert max(totals) == brute_capacity([s for _, s in order], shards)
+    assert len(set(place)) == min(shards, len(order))
+
+
 def check(rows, got, shards):
     assert sorted((r.doc_id, r.size, r.text_crc32) for r in got if r.doc_id is not None) == sorted(
         (i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in rows if i is not None)
