@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from sievekit.functions.names import col
+from sievekit.functions.names import col, text_literal
 from sievekit.operators.quantiles import clean_double
 
 
@@ -37,7 +37,7 @@ def missing_per_column(df: DataFrame, cols: Sequence[str] | None = None,
     """Long (column, n_missing); null and NaN both count as missing."""
     cols = list(cols or df.columns)
     wide = df.agg(*[F.count_if(_missing(df, c)).alias(f"m{i}") for i, c in enumerate(cols)])
-    stack = ", ".join(f"'{c}', m{i}" for i, c in enumerate(cols))
+    stack = ", ".join(f"{text_literal(c)}, m{i}" for i, c in enumerate(cols))
     long = wide.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, n_missing)")
     return long.where("n_missing > 0") if only_positive else long
 

@@ -169,3 +169,9 @@ def test_profile(spark):
     got = profile.profile(df, "l.m")
     assert (got["n_rows"], got["missing"], got["duplicates"]) == (3, 1, 1)
     assert [tuple(r) for r in got["label_counts"].collect()] == [(0, 2), (1, 1)]
+
+
+def test_missing_counts_with_quotes_in_names(spark):
+    df = spark.createDataFrame([(None, 1), (2, None), (None, 3)], "`it's` int, `a\\b.c` int")
+    got = {r.column_name: r.n_missing for r in profile.missing_per_column(df).collect()}
+    assert got == {"it's": 2, "a\\b.c": 1}
