@@ -16,13 +16,13 @@ import json
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievekit.functions.vectors import argmax_first
 from sievekit.operators import evaluation, splitting
 from sievekit.operators.selection import fit_robust_scaler
-from sievekit.plans import scoring, softmax_boost, training
+from sievekit.plans import random_trees, scoring, softmax_boost, training
 from sievekit.plans.catalog import model1, x1_sql
 from sievekit.plans.stages import SoftVote, as_array
 from sievekit.session import work_dir
@@ -174,6 +174,25 @@ def q_m6(spark, d):
     return sound(model.transform(test), lm)
 
 
+def _above_share(scored: DataFrame, train: DataFrame, index: str) -> Column:
+    """Whether the hold-out accuracy is above that of the commonest training label."""
+    top = train.groupBy("label_idx").count().orderBy(F.desc("count"), "label_idx").first()["label_idx"]
+    r = scored.agg(F.avg((F.col(index) == F.col("label_idx")).cast("double")).alias("own"),
+                   F.avg((F.col("label_idx") == F.lit(top)).cast("double")).alias("top")).first()
+    return F.lit(r["own"] > r["top"])
+
+
+@register("m6_random_thresholds", holdout_sql(SOUND + ", true AS has_learnt"))
+def q_m6r(spark, d):
+    """100 trees of unlimited depth with random thresholds; whether the hold-out
+    accuracy is above that of the commonest label."""
+    train, test, lm = prepared(spark, d)
+    scored = random_trees.fit_random_trees(train, len(lm.labels)).transform(test)
+    index, _ = argmax_first("probability_arr")
+    scored = scored.withColumn("_i", index)
+    return sound(scored, lm, "probability_arr", "_i").withColumn("has_learnt", _above_share(scored, train, "_i"))
+
+
 def _expanded(df: DataFrame) -> DataFrame:
     return df.select("*", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(DIMS)])
 
