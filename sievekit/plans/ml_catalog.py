@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievekit.functions.vectors import argmax_first
-from sievekit.operators import evaluation, splitting
+from sievekit.operators import evaluation, quantile_state, splitting
 from sievekit.operators.selection import fit_robust_scaler
 from sievekit.plans import kernel_margin, random_trees, scoring, softmax_boost, training
 from sievekit.plans.catalog import model1, x1_sql
@@ -424,6 +424,36 @@ def q_s10(spark, d):
         "rows_per_run", F.lit(f"{n1},{n2},{n3}"))
 
 
+@register("c2_incremental_bounds", """SELECT c AS column_name, count(v) AS n, true AS q1_holds, true AS q3_holds, true AS new_files_only
+FROM (SELECT unnest(['l_extendedprice', 'l_discount', 'l_quantity']) AS c,
+             unnest([l_extendedprice::DOUBLE, l_discount::DOUBLE, l_quantity::DOUBLE]) AS v FROM lineitem) GROUP BY c""")
+def q_c2_state(spark, d):
+    """Quartiles of ``lineitem`` from stored sketches: half of its rows arrive,
+    then the other half. Whether each quartile's exact rank is within the sketch's
+    error, and the second run read the second half's files only."""
+    cols = ["l_extendedprice", "l_discount", "l_quantity"]
+    base = work_dir(spark, "quantiles")
+    rows = table(spark, d, "lineitem").select("l_orderkey", *[F.col(c).cast("double").alias(c) for c in cols])
+    inbox, state, read = f"{base}/in", f"{base}/state", []
+    for half in (0, 1):
+        rows.where(F.pmod("l_orderkey", F.lit(2)) == half).write.mode("append").parquet(inbox)
+        read.append(quantile_state.update_state(spark, inbox, rows.schema, cols, state))
+    read.append(quantile_state.update_state(spark, inbox, rows.schema, cols, state))
+    files = spark.read.format("binaryFile").load(inbox).select("path").count()
+    new_only = min(read[:2]) > 0 and sum(read[:2]) == files and read[2] == 0
+    found, n = quantile_state.state_quantiles(spark, inbox, state, cols, [0.25, 0.75])
+    told = spark.createDataFrame([(c, n[c], *found[c], new_only) for c in cols],
+                                 "column_name string, n long, q1 double, q3 double, new_files_only boolean")
+    error = quantile_state.rank_error()
+    ranks = (spark.read.schema(rows.schema).parquet(inbox)
+                  .select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in cols])))
+                  .join(F.broadcast(told), "column_name").groupBy("column_name")        # a row per column
+                  .agg(*[F.avg((F.col("v") < F.col(q)).cast("double")).alias(f"{q}_below") for q in ("q1", "q3")],
+                       *[F.avg((F.col("v") <= F.col(q)).cast("double")).alias(f"{q}_upto") for q in ("q1", "q3")]))
+    holds = {f"{q}_holds": (F.col(f"{q}_below") - error <= p) & (F.col(f"{q}_upto") + error >= p) for q, p in (("q1", 0.25), ("q3", 0.75))}
+    return told.join(ranks, "column_name").select("column_name", "n", *[c.alias(k) for k, c in holds.items()], "new_files_only")
+
+
 # ---------------------------------------------------------------- end-to-end flows
 def _events_gappy(spark, d):
     from sievekit.plans.catalog import events_with_gaps
