@@ -241,23 +241,33 @@ class KernelMargin(_Stage, HasInputCol, HasOutputCol):
                 "weights": base64.b64encode(np.ascontiguousarray(weights).tobytes()).decode()}
         return cls()._with(inputCol=features_col, outputCol=out, model=json.dumps(told))
 
-    def _transform(self, df: DataFrame) -> DataFrame:
+    def _scored(self, df: DataFrame, out: str, of) -> DataFrame:
         told = json.loads(self.getOrDefault(self.model))
         kernel, centre, k = told["kernel"], np.array(told["centre"]), told["classes"]
         w = np.frombuffer(base64.b64decode(told["weights"]), np.float64).reshape(-1, k)
         a, b = np.array(told["sigmoids"]).T
 
         @F.pandas_udf("array<double>")
-        def probabilities(x: pd.Series) -> pd.Series:
+        def scores(x: pd.Series) -> pd.Series:
             if not len(x):
                 return pd.Series([], dtype=object)
-            margin = features(np.stack([np.asarray(v, np.float64) for v in x]), kernel, centre) @ w
+            return pd.Series(list(of(features(np.stack([np.asarray(v, np.float64) for v in x]), kernel, centre) @ w, a, b)))
+
+        return df.withColumn(out, scores(_inputs(df, self.getInputCol())))
+
+    def margins(self, df: DataFrame, out: str = "margins") -> DataFrame:
+        """The classes' bare margins as ``out``: where unseen rows told the
+        sigmoids nothing, all probabilities are the classes' shares."""
+        return self._scored(df, out, lambda margin, a, b: margin)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        def probabilities(margin, a, b):
             # shares of the sigmoids by their logarithms, which don't vanish far out
             log = -np.logaddexp(0, -(a * margin + b))
             p = np.exp(log - log.max(1, keepdims=True))
-            return pd.Series(list(p / p.sum(1, keepdims=True)))
+            return p / p.sum(1, keepdims=True)
 
-        return df.withColumn(self.getOutputCol(), probabilities(_inputs(df, self.getInputCol())))
+        return self._scored(df, self.getOutputCol(), probabilities)
 
 
 def fit_kernel_margin(train: DataFrame, n_classes: int, id_col: str, kernel: str = "rbf", c: float = 1.0, gamma: float | None = None,

@@ -44,6 +44,8 @@ def test_two_rings(spark, tmp_path, kernel):
     test = frame(spark, hx, hy)
     p = predicted(model, test)
     assert np.allclose(p.sum(1), 1) and (p.argmax(1) == hy).mean() > 0.97
+    bare = np.array([r[0] for r in model.margins(test).orderBy("id").select("margins").collect()])
+    assert (bare.argmax(1) == hy).mean() > 0.97
     PipelineModel([model]).write().overwrite().save(str(tmp_path / "m"))
     assert np.array_equal(predicted(PipelineModel.load(str(tmp_path / "m")), test), p)
     if kernel == "rbf":
