@@ -67,7 +67,9 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """One row per key, that with the smallest ``order_by`` (null last).
+    """One row per key, that with the smallest ``order_by`` (null last); of rows
+    that tie, the smallest by their columns in the table's order (null first;
+    columns that hold maps, which have no order, are passed over).
 
     Keys are compared by 128-bit hashes (two of 1e10 keys agree with odds below
     1e-18). The smallest order value and the number of rows that have it come
@@ -89,5 +91,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFram
     out = at(first.where("_ties = 1"))
     tied = first.where("_ties > 1")
     if not tied.isEmpty():
-        out = out.unionByName(at(tied).dropDuplicates(["_h1", "_h2"]))
+        ordered = [_norm(df, c) for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()]
+        whole = F.struct(*[col(c) for c in df.columns])
+        least = at(tied).groupBy("_h1", "_h2").agg(F.min_by(whole, F.struct(*ordered)).alias("_row"))
+        out = out.select(*[col(c) for c in df.columns]).unionByName(least.select("_row.*"))
     return out.select(*[quoted(c) for c in df.columns])

@@ -175,3 +175,16 @@ def test_missing_counts_with_quotes_in_names(spark):
     df = spark.createDataFrame([(None, 1), (2, None), (None, 3)], "`it's` int, `a\\b.c` int")
     got = {r.column_name: r.n_missing for r in profile.missing_per_column(df).collect()}
     assert got == {"it's": 2, "a\\b.c": 1}
+
+
+def test_first_per_key_with_ties(spark):
+    """Rows that tie in the order value: the smallest by the other columns, however they lie."""
+    from pyspark.sql import functions as F
+    from sievekit.operators.dedup import first_per_key
+    rows = [("a", 1, "z", 2.0), ("a", 1, "b", float("nan")), ("a", 1, "b", 3.0), ("a", 2, "a", 0.0),
+            (None, None, "q", None), (None, None, None, 1.0), ("c", 5, "x", 1.0), ("c", 5, "x", 1.0)]
+    df = spark.createDataFrame(rows, "k string, o int, `v w` string, x double").withColumn("m", F.create_map(F.lit("n"), "v w"))
+    for n in (1, 5):
+        got = sorted(map(tuple, first_per_key(df.repartition(n), ["k"], "o").collect()), key=str)
+        assert got == sorted([("a", 1, "b", 3.0, {"n": "b"}), (None, None, None, 1.0, {"n": None}),
+                              ("c", 5, "x", 1.0, {"n": "x"})], key=str)
