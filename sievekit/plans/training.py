@@ -27,7 +27,8 @@ from sievekit.functions.names import col, quoted, text_literal
 from sievekit.plans.stages import AssembleColumns, ClassProbabilities
 
 MAX_DEPTH = 30        # Spark's tree depth limit; stands in for "unlimited"
-FIT_PARTITIONS = 8    # of the input of a forest, whatever the cluster
+FIT_PARTITIONS = 8    # of the input of a forest, at least, whatever the cluster
+FIT_ROWS = 1_000_000  # of such a partition, at most (about)
 
 
 # ---------------------------------------------------------------- F9
@@ -75,12 +76,13 @@ def fit_label_map(df: DataFrame, label: str, index_col: str = "label_idx") -> La
     return LabelMap(sorted(r[0] for r in rows), label, index_col, df.schema[label].dataType)
 
 
-def spread(df: DataFrame, id_col: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """Training input of a tree ensemble: dealt by id into a fixed number of
-    partitions and sorted by id there. Bagging is seeded per partition, so the
-    fitted model depends on the data and the seed, not on how the input lay or
-    how many cores there are. Large inputs want more partitions; the number is
-    part of the experiment, like the seed."""
+def spread(df: DataFrame, id_col: str, partitions: int | None = None) -> DataFrame:
+    """Training input of a tree ensemble: dealt by id into partitions whose number
+    follows from the counted rows, and sorted by id there. Bagging is seeded per
+    partition, so the fitted model depends on the data and the seed, not on how
+    the input lay or how many cores there are."""
+    if partitions is None:
+        partitions = max(FIT_PARTITIONS, math.ceil(df.count() / FIT_ROWS))
     return df.repartition(partitions, col(id_col)).sortWithinPartitions(col(id_col))
 
 

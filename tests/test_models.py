@@ -63,6 +63,16 @@ def test_forest_does_not_depend_on_how_the_input_lay(spark, data):
     assert got[0] == got[1]
 
 
+def test_partitions_of_a_fit_follow_the_rows(spark, monkeypatch):
+    rows = spark.range(1000).withColumnRenamed("id", "vec_id")
+    assert training.spread(rows, "vec_id").rdd.getNumPartitions() == training.FIT_PARTITIONS
+    monkeypatch.setattr(training, "FIT_ROWS", 60)
+    dealt = training.spread(rows.repartition(3), "vec_id")
+    again = training.spread(rows.repartition(40), "vec_id")
+    assert dealt.rdd.getNumPartitions() == 17
+    assert dealt.rdd.glom().collect() == again.rdd.glom().collect()
+
+
 def test_depth_beyond_the_limit_is_an_error():
     with pytest.raises(ValueError):
         training.forest(10, 31)
