@@ -29,6 +29,7 @@ from sievekit.plans.stages import SoftVote, as_array
 from sievekit.session import work_dir
 from sievekit.sources.artifacts import fresh_inputs, load_model, read_runs, save_model, write_metrics
 from sievekit.sources.tables import read_split, table, write_split
+from sievekit.streaming.requests import running_counts, serve
 from sievekit.streaming.scoring_stream import changed_inputs, score_stream
 
 QUERIES = {}
@@ -412,6 +413,26 @@ def q_i3(spark, d):
     return _same_as_batch(spark, spark.read.parquet(out), inbox, transform, schema)
 
 
+@register("i3_requests_once", """SELECT event_id, event_type, 1 AS times, true AS counts_agree FROM events""")
+def q_i3r(spark, d):
+    """``events`` as scoring requests: half of them arrive, then these once more
+    with the other half. How often each was scored, and whether the running
+    confusion counts are those of the scored rows."""
+    base = work_dir(spark, "requests")
+    rows = table(spark, d, "events").select("event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+    middle = rows.agg(F.avg("value")).first()[0]
+    inbox, first = f"{base}/in", rows.where(F.pmod("event_id", F.lit(2)) == 0)
+    score = lambda x: x.select("event_id", "event_type", F.when(F.col("value") > F.lit(middle), "purchase")
+                               .otherwise("click").alias("prediction"))
+    for arrived in (first, rows):
+        arrived.write.mode("append").parquet(inbox)
+        serve(spark, inbox, rows.schema, score, base, "event_id", "ts", "36500 days", "event_type")
+    scored = spark.read.parquet(f"{base}/scored")
+    own = scored.where("event_type IS NOT NULL").groupBy(F.col("event_type").alias("label"), "prediction").agg(F.count(F.lit(1)).alias("n"))
+    agree = own.exceptAll(running_counts(spark, base)).isEmpty()
+    return scored.groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("times")).withColumn("counts_agree", F.lit(agree))
+
+
 @register("s10_changed_inputs", "WITH " + x1_sql("SELECT vec_id, label FROM embeddings", "vec_id", "label") + """,
 t AS (SELECT * FROM sp WHERE split = 'test')
 SELECT vec_id, label, true AS as_in_batch, (SELECT count(*) FILTER (vec_id % 2 = 0) || ',0,' ||
