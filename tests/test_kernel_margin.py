@@ -39,7 +39,7 @@ def predicted(model, df):
 @pytest.mark.parametrize("kernel", ["rbf", "poly"])
 def test_two_rings(spark, tmp_path, kernel):
     (x, y), (hx, hy) = two_rings(400, 1), two_rings(300, 2)
-    kw = dict(size=128, folds=3, steps=60, c=10.0, degree=2, constant=1.0)
+    kw = dict(size=128, folds=2, steps=30, c=10.0, degree=2, constant=1.0)
     model = M.fit_kernel_margin(frame(spark, x, y), 2, "id", kernel=kernel, gamma=3.0, **kw)
     test = frame(spark, hx, hy)
     p = predicted(model, test)
@@ -57,7 +57,7 @@ def test_machines_reach_the_minimum(spark):
     x, y = rings(150, 3)
     machines = M._Machines(frame(spark, x, y), 3, "label_idx", "features", "id", 2,
                            {"kind": "linear", "gamma": None, "constant": 0.0, "degree": 0, "size": 0, "seed": 1})
-    w = machines.fit(1.0, 300, 1e-6)
+    w = machines.fit(1.0, 150, 1e-6)
     rows = machines.rows.collect()
     z = M.features(np.array([r.x for r in rows]), machines.kernel, machines.centre)
     fold, label = np.array([r.fold for r in rows]), np.array([r.y for r in rows])
@@ -99,9 +99,9 @@ def test_cross_fitted_probabilities_beat_those_of_seen_rows(spark):
     def loss(p):
         return -np.log(np.maximum(p[np.arange(len(hy)), hy], 1e-15)).mean()
 
-    crossed = loss(predicted(M.fit_kernel_margin(train, 3, "id", kernel="linear", c=10.0, steps=100), test))
+    crossed = loss(predicted(M.fit_kernel_margin(train, 3, "id", kernel="linear", c=10.0, steps=40), test))
     vectors = lambda df: df.withColumn("features", array_to_vector("features"))
-    seen = loss(predicted(training.fit_margin_prob(vectors(train), 3, max_iter=50), vectors(test)))
+    seen = loss(predicted(training.fit_margin_prob(vectors(train), 3, max_iter=30), vectors(test)))
     assert crossed < seen and crossed < math.log(3)
 
 
