@@ -54,13 +54,16 @@ def train_baseline(spark: SparkSession, split_path: str, features: Sequence[str]
                    num_trees: int = 100, max_depth: int = 10, seed: int = 42) -> dict:
     """The model stage: forest pipeline fitted on the train split, scored on the
     test split; accuracy + per-class report to the runs table, K x K confusion
-    CSV, pipeline saved."""
-    train = training.spread(read_split(spark, split_path, "train"), id_col)
+    CSV, pipeline saved. The forest counts its rows by their bins, and the test
+    split is scored once."""
+    train = read_split(spark, split_path, "train")
     test = read_split(spark, split_path, "test")
     lm = training.fit_label_map(train, label, "label_idx")
-    pipe = training.model_pipeline(features, lm, training.forest(num_trees, max_depth, seed))
+    pipe = training.model_pipeline(features, lm, training.counted_forest(num_trees, max_depth, seed))
     model = pipe.fit(train)
-    scored = model.transform(test)
+    path, told = work_dir(spark, "scored"), model.transform(test).select(quoted(label), "predicted_label")
+    told.write.parquet(path)
+    scored = spark.read.schema(told.schema).parquet(path)
     acc = evaluation.accuracy(scored, label, "predicted_label").first()["accuracy"]
     rep = evaluation.classification_report(scored, label, "predicted_label")
     run = write_metrics(spark, runs_path, "random_forest", report_metrics(rep))
