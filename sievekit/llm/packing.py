@@ -23,6 +23,7 @@ import json
 import re
 import sys
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -43,35 +44,51 @@ SLICE_BYTES = 1 << 21
 
 def balanced_windows(sizes: np.ndarray, k: int) -> np.ndarray:
     """Karmarkar-Karp multiway differencing: the window (0 to k - 1) of each
-    size."""
+    size. A partial partition lists its filled windows only, by falling sum:
+    until it has k, the next size is put in its place among them."""
     n = len(sizes)
     if k == 1:
         return np.zeros(n, np.int64)
     left, right = [], []                    # children of merged sets; ids from n on
-    heap = []
-    for i, s in enumerate(sizes.tolist()):
-        sums, sets = np.zeros(k, np.int64), np.full(k, -1, np.int64)
-        sums[0], sets[0] = s, i
-        heap.append((-s, i, sums, sets))
+    heap = [(-s, i, [-s], [i]) for i, s in enumerate(sizes.tolist())]       # sums are negative
     heapq.heapify(heap)
     tick = n
     while len(heap) > 1:
         _, _, a, a_sets = heapq.heappop(heap)
         _, _, b, b_sets = heapq.heappop(heap)
-        sums, b_sets = a + b[::-1], b_sets[::-1]
-        sets = np.maximum(a_sets, b_sets)   # right wherever one of the two is empty
-        both = np.flatnonzero((a_sets >= 0) & (b_sets >= 0))
-        if len(both):
+        if 1 < min(len(a), len(b)) and len(a) + len(b) > k:
+            a, b = (np.array(x + [0] * (k - len(x))) for x in (a, b))
+            a_sets, b_sets = (np.array(x + [-1] * (k - len(x))) for x in (a_sets, b_sets))
+            sums, b_sets = a + b[::-1], b_sets[::-1]
+            sets = np.maximum(a_sets, b_sets)   # right wherever one of the two is empty
+            both = np.flatnonzero((a_sets >= 0) & (b_sets >= 0))
             sets[both] = np.arange(n + len(left), n + len(left) + len(both))
             left.extend(a_sets[both].tolist())
             right.extend(b_sets[both].tolist())
-        order = np.argsort(-sums, kind="stable")
-        sums, sets = sums[order], sets[order]
-        heapq.heappush(heap, (int(sums[-1] - sums[0]), tick, sums, sets))
+            order = np.argsort(sums, kind="stable")
+            a, a_sets = sums[order].tolist(), sets[order].tolist()
+        else:
+            if len(a) + len(b) > k:         # one size more in the smallest window of a whole partition
+                x, y = (a, b) if len(b) == 1 else (b, a)
+                x_sets, y_sets = (a_sets, b_sets) if len(b) == 1 else (b_sets, a_sets)
+                y[0] += x.pop()
+                left.append(x_sets.pop())
+                right.append(y_sets[0])
+                y_sets[0] = n + len(left) - 1
+            if len(b) == 1:
+                at = bisect_right(a, b[0])
+                a.insert(at, b[0])
+                a_sets.insert(at, b_sets[0])
+            else:
+                a, a_sets = a + b[::-1], a_sets + b_sets[::-1]
+                order = sorted(range(len(a)), key=a.__getitem__)
+                a, a_sets = [a[i] for i in order], [a_sets[i] for i in order]
+        least = a[-1] if len(a) == k else 0
+        heapq.heappush(heap, (a[0] - least, tick, a, a_sets))
         tick += 1
     window = np.zeros(n, np.int64)
-    for w, top in enumerate(heap[0][3].tolist()):
-        todo = [top] if top >= 0 else []
+    for w, top in enumerate(heap[0][3] if heap else []):
+        todo = [top]
         while todo:
             x = todo.pop()
             if x < n:
@@ -117,7 +134,8 @@ def cut(n_tokens: int, capacity: int = CAPACITY, max_piece: int = MAX_PIECE,
 BORDERS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LETTERS = "a-z\u00df-\u00f6\u00f8-\u024f"
 UNITS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
-PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+# capitals among them whose lower case is no single letter of these have to stay out
+PLAIN = re.compile("[\x21-\x7e" + "".join(c for c in map(chr, range(0xc0, 0x250)) if re.fullmatch(f"[{LETTERS}]", c.lower())) + "]+")
 
 
 class WordIds(dict):
@@ -141,21 +159,24 @@ class WordIds(dict):
             raise ValueError("the tokeniser must drop white space and keep words apart")
         suffix = told["model"].get("end_of_word_suffix")
         lower = any(n.get("type") == "Lowercase" for n in (told.get("normalizer") or {}).get("normalizers", []))
-        self.cuts = bool(removed and pattern == BORDERS and suffix and lower)
-        self.marks = tuple(t["content"].encode() for t in told.get("added_tokens", []))
+        self.cuts = bool(removed and pattern == BORDERS and suffix and lower and "pretokenizers" in steps)
+        self.marks = tuple({t["content"].encode()[:2] for t in told.get("added_tokens", [])})
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        if self.cuts:
+        if self.cuts:                       # units need no normalising and no search for borders
+            ready = [{"type": "WhitespaceSplit"}, *steps["pretokenizers"][1:]]
+            self.of_units = Tokenizer.from_str(json.dumps(told | {
+                "normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": ready}}))
             self.ends[[i for token, i in self.tokenizer.get_vocab(False).items() if token.endswith(suffix)]] = True
 
     def split(self, raw: bytes) -> list[bytes]:
         """Words of a text; ASCII case is dropped where the tokeniser does so anyway."""
-        plain = self.cuts and not any(m[:2] in raw for m in self.marks)
+        plain = self.cuts and not any(m in raw for m in self.marks)
         return (raw.lower() if plain else raw).split()
 
     def _encode(self, units: list[str]):
         for i in range(0, len(units), 4096):
             part = units[i:i + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.of_units.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) == len(part):
                 data, at = ids.tobytes(), [0, *(4 * last).tolist()]
@@ -179,7 +200,7 @@ class WordIds(dict):
         new = list(new.difference(self.older))
         words = list(map(bytes.decode, new))
         if self.cuts:
-            marked = {w for m in self.marks for w in words if m[:2].decode() in w}
+            marked = {w for m in map(bytes.decode, self.marks) for w in words if m in w}
             whole = [w in marked or not p for w, p in zip(words, map(PLAIN.fullmatch, words))]
         else:
             whole = [True] * len(words)

@@ -1,3 +1,4 @@
+import heapq
 import zlib
 
 import numpy as np
@@ -37,6 +38,10 @@ def test_odd_rows(make, odd_rows):
     check(rows, P.pack(make(rows), PATH).collect())
 
 
+def test_capitals_whose_lower_case_is_another_block_s(make):
+    check([(1, "gÖLÇÜK Əliyev aƆb ȺÞ sƏƏs")], P.pack(make([(1, "gÖLÇÜK Əliyev aƆb ȺÞ sƏƏs")]), PATH).collect())
+
+
 def test_little_padding(make):
     rng = np.random.default_rng(1)
     rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 300, rng.integers(1, 900)))) for i in range(500)]
@@ -57,6 +62,29 @@ def test_differencing():
     assert np.bincount(P.balanced_windows(np.array([8, 7, 6, 5, 4]), 2), [8, 7, 6, 5, 4]).tolist() in ([16, 14], [14, 16])
 
 
+def differenced(sizes, k):
+    """The same with all k sums of every partial partition."""
+    heap = sorted((-s, i, [(s, (i,))] + [(0, ())] * (k - 1)) for i, s in enumerate(sizes))
+    tick = len(heap)
+    while len(heap) > 1:
+        (*_, a), (*_, b) = heapq.heappop(heap), heapq.heappop(heap)
+        c = sorted(((x + y, m + n) for (x, m), (y, n) in zip(a, b[::-1])), key=lambda w: -w[0])
+        heapq.heappush(heap, (c[-1][0] - c[0][0], tick, c))
+        tick += 1
+    return {i: w for w, (_, members) in enumerate(heap[0][2]) for i in members}
+
+
+def test_differencing_puts_single_sizes_in_their_place(monkeypatch):
+    rng = np.random.default_rng(3)
+    for n, k, top in ((1, 2, 9), (5, 8, 9), (60, 7, 4), (90, 40, 2), (200, 20, 1000), (41, 20, 100)):
+        sizes = rng.integers(1, top + 1, n)
+        assert P.balanced_windows(sizes, k).tolist() == [w for _, w in sorted(differenced(sizes.tolist(), k).items())]
+    whole, merged = np.argsort, []
+    monkeypatch.setattr(P.np, "argsort", lambda *a, **b: merged.append(1) or whole(*a, **b))
+    P.balanced_windows(rng.integers(1, 1024, 2000), 500)        # one at a time, not all 500 sums for each
+    assert len(merged) < 200
+
+
 def test_windows_are_added_beyond_capacity():
     window, offset = P.pack_block(np.array([1500, 1500, 1000]), 2048)
     assert len(set(window.tolist())) == 3 and offset.tolist() == [0, 0, 0]
