@@ -72,6 +72,33 @@ def test_baseline_counts_equal_rows(spark):
     assert few == [0.0, 1.0]
 
 
+def test_a_large_model_stays_in_parts(spark, monkeypatch):
+    """The driver holds the upper levels only; probabilities, saving and loading as of a model in one piece."""
+    df = table(spark)
+    for est in (training.extra_trees(6, None, 7), training.counted_forest(6, 8, 7)):
+        monkeypatch.setattr(binned_forest, "LOCAL_ROWS", 100)
+        whole = est.fit(df)
+        want = probabilities(whole, df)
+        monkeypatch.setattr(binned_forest, "MODEL_NODES", 500)     # a tree has some 600 nodes: borders lie within trees
+        monkeypatch.setattr(binned_forest, "SCORE_ROWS", 70)
+        model = est.fit(df)
+        assert model.getOrDefault("parts") > 3 and len(model.getOrDefault("model")) < len(whole.getOrDefault("model"))
+        loaded = load_model(save_model(PipelineModel([model]), work_dir(spark, "forest")))
+        for one in (model, loaded):
+            got = probabilities(one, df)
+            assert got.keys() == want.keys() and all(np.allclose(got[i], want[i], atol=1e-9) for i in want)
+        assert loaded.stages[0].getOrDefault("table") != model.getOrDefault("table")
+        scored = model.transform(df.where("id < 0"))
+        assert scored.count() == 0 and scored.columns == whole.transform(df).columns
+        monkeypatch.undo()
+
+
+def test_shallow_forests_of_many_rows_are_one_object(spark, monkeypatch):
+    """Parts follow the nodes there can be, not the rows."""
+    monkeypatch.setattr(binned_forest, "MODEL_NODES", 100)
+    assert training.counted_forest(2, 3, 7).fit(table(spark)).getOrDefault("parts") == 0
+
+
 def test_poisson_weights():
     w = binned_forest.poisson_weights(np.arange(2000, dtype=np.uint64), np.ones(2000, np.int64), 50, 42)
     assert abs(w.mean() - 1) < 0.02 and abs(w.var() - 1) < 0.03
