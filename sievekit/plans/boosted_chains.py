@@ -51,6 +51,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])     # tasks need no
 CHAIN_ROWS = 1 << 19        # of a table whose chains grow in one task each, at most
 GROUP_ROWS = 8192           # rows x classes of a task that grows several classes, at most (about)
 DEAL_ROWS = 4096            # of a block that is sent
+DEAL_SLOTS = 64             # to which it is sent at once
 CELLS = 1 << 15             # of a histogram that are filled or searched at once (about): a core's cache holds them
 BINS = 32
 
@@ -228,8 +229,10 @@ class _Table:
                     for e in edges:
                         own["b"] = binned(x, e)
                         blobs.append(own.tobytes())
-                    yield pa.RecordBatch.from_arrays([pa.array(range(len(slots)), pa.int32()), pa.array([blobs[i] for _, i, _ in slots], pa.binary())],
-                                                     ["slot", "v"])
+                    for z in range(0, len(slots), DEAL_SLOTS):
+                        to = range(z, min(len(slots), z + DEAL_SLOTS))
+                        yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array([blobs[slots[s][1]] for s in to], pa.binary())],
+                                                         ["slot", "v"])
 
         def grow(batches):
             slot, values = None, []
